@@ -1,0 +1,76 @@
+"""The whole build: raw tables to staging, marts, metrics and features.
+
+Staging and intermediate layers stay lazy and are planned into whatever reads them. The wide order row, the
+dimensions, facts, metrics and features are stored when a path is given, each read by several consumers.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from stallwise.plans import features, marts, metrics, staging
+from stallwise.sources import sinks
+
+STAGING = {
+    "orders": staging.stg_orders,
+    "order_items": staging.stg_order_items,
+    "order_payments": staging.stg_order_payments,
+    "order_reviews": staging.stg_order_reviews,
+    "customers": staging.stg_customers,
+    "sellers": staging.stg_sellers,
+    "products": staging.stg_products,
+    "geolocation": staging.stg_geolocation,
+}
+
+
+def stage(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {f"stg_{name}": clean(raw[name]) for name, clean in STAGING.items()}
+
+
+def intermediate(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        "payments_aggregated": marts.payments_aggregated(stg["stg_order_payments"]),
+        "order_status_normalized": marts.order_status_normalized(stg["stg_orders"]),
+        "int_orders_enriched": marts.int_orders_enriched(
+            stg["stg_orders"], stg["stg_order_payments"], stg["stg_order_reviews"]
+        ),
+    }
+
+
+def order_core(stg: dict[str, DataFrame]) -> DataFrame:
+    return marts.order_core(
+        stg["stg_orders"], stg["stg_order_payments"], stg["stg_order_items"], stg["stg_customers"]
+    )
+
+
+def build(raw: dict[str, DataFrame], path: str | None = None) -> dict[str, DataFrame]:
+    """All datasets by name; stored under ``path`` when given, lazy otherwise."""
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return sinks.materialize(df, path and f"{path}/{name}")
+
+    stg = stage(raw)
+    tables = {**stg, **intermediate(stg)}
+    tables["dim_customers"] = keep("dim_customers", marts.dim_customers(stg["stg_customers"]))
+    tables["dim_sellers"] = keep("dim_sellers", marts.dim_sellers(stg["stg_sellers"]))
+    tables["dim_products"] = keep("dim_products", marts.dim_products(stg["stg_products"]))
+    core = keep("order_core", order_core(stg))
+    tables["order_core"] = core
+    tables["fact_orders"] = keep(
+        "fact_orders",
+        marts.fact_orders(
+            marts.with_review_and_category(core, stg["stg_order_reviews"], stg["stg_products"])
+        ),
+    )
+    tables["fact_order_items"] = keep(
+        "fact_order_items",
+        marts.fact_order_items(stg["stg_order_items"], tables["dim_products"], tables["dim_sellers"]),
+    )
+    tables["met_daily_gmv"] = keep("met_daily_gmv", metrics.met_daily_gmv(core))
+    tables["met_daily_revenue"] = keep("met_daily_revenue", metrics.met_daily_revenue(core))
+    tables["met_daily_delay_rate"] = keep("met_daily_delay_rate", metrics.met_daily_delay_rate(core))
+    tables["order_features"] = keep(
+        "order_features",
+        features.order_features(core, tables["dim_customers"], tables["dim_sellers"], tables["dim_products"]),
+    )
+    return tables
