@@ -115,22 +115,30 @@ def with_clauses(names: list[str], definitions: dict[str, str]) -> str:
     return "with " + ", ".join(f"{n} as ({definitions[n].strip()})" for n in ordered) if ordered else ""
 
 
-def register(spark: SparkSession, sf_dir: str) -> None:
-    for name in DRIVER_TABLES:
+def register(spark: SparkSession, sf_dir: str, names: list[str] = DRIVER_TABLES) -> None:
+    for name in names:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
 
 
-def recipe(spark: SparkSession, name: str) -> DataFrame:
-    return spark.sql(f"{with_clauses([name], RECIPES)} select * from {name}")
+def recipe(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One derived table; only the driver tables it reads are opened."""
+    text = with_clauses([name], RECIPES)
+    register(spark, sf_dir, [t for t in DRIVER_TABLES if re.search(rf"\bfrom {t}\b|\bjoin {t}\b", text)])
+    return spark.sql(f"{text} select * from {name}")
+
+
+class RawTables(dict):
+    """The raw tables by source name, derived when first asked for."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        super().__init__()
+        self._spark, self._sf_dir = spark, sf_dir
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The raw tables by source name."""
-    register(spark, sf_dir)
-    return {name[len("raw_"):]: recipe(spark, name) for name in RECIPES if name.startswith("raw_")}
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = recipe(self._spark, self._sf_dir, f"raw_{name}")
+        return self[name]
 
 
 def synthetic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """order_id, order_date, actual_is_delayed, p_champion, p_challenger; ties and empty signal included."""
-    register(spark, sf_dir)
-    return recipe(spark, "synthetic_scores")
+    return recipe(spark, sf_dir, "synthetic_scores")

@@ -50,11 +50,11 @@ class Data:
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        return driver_tables.raw_tables(self.spark, self.sf_dir)
+        return driver_tables.RawTables(self.spark, self.sf_dir)
 
     @cached_property
     def stg(self) -> dict[str, DataFrame]:
-        return build.stage(self.raw)
+        return build.StagedTables(self.raw)
 
     @property
     def orders(self) -> DataFrame:

@@ -23,8 +23,22 @@ STAGING = {
 }
 
 
+class StagedTables(dict):
+    """The cleaned tables by name, planned when first asked for."""
+
+    def __init__(self, raw: dict[str, DataFrame]) -> None:
+        super().__init__()
+        self._raw = raw
+
+    def __missing__(self, name: str) -> DataFrame:
+        source = name.removeprefix("stg_")
+        self[name] = STAGING[source](self._raw[source])
+        return self[name]
+
+
 def stage(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {f"stg_{name}": clean(raw[name]) for name, clean in STAGING.items()}
+    staged = StagedTables(raw)
+    return {name: staged[name] for name in (f"stg_{source}" for source in STAGING)}
 
 
 def intermediate(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
