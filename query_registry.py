@@ -753,7 +753,7 @@ def quantile_edges(d: Data) -> DataFrame:
 @query
 def histogram_counts(d: Data) -> DataFrame:
     ranked = ranked_counts(d)
-    return drift.histogram(ranked, drift.bin_edges(ranked))
+    return drift.histogram(ranked, drift.bin_edges(ranked)).drop("n_edges")
 
 
 @query

@@ -49,66 +49,44 @@ def numeric_counts(baseline: DataFrame, current: DataFrame, features: list[str])
 
 
 def with_ranks(counts: DataFrame) -> DataFrame:
-    """Adds the number of baseline rows below each value; stored once, then read by quantiles and bins."""
-    return running_sums(
-        counts, ["feature"], [F.col("value").asc()], {"baseline_before": F.col("baseline_n")}
-    )
+    """Adds the number of baseline rows below each value. The counts are stored, so every reader starts there."""
+    return running_sums(counts, ["feature"], [F.col("value").asc()], {"baseline_before": F.col("baseline_n")})
 
 
 def quantiles(ranked: DataFrame, parts: int) -> DataFrame:
     """(feature, part, edge): baseline quantiles part/parts for part = 0..parts, linearly interpolated.
 
-    Quantile i of n sorted values lies at position (n-1)*i/parts. The two neighbouring positions are found
-    in the running counts; positions are integers, so nothing depends on rounding.
+    Quantile i of n sorted values lies between the positions low = (n-1)*i div parts and low + 1. A row
+    covers the positions of its equal values, so the parts it can end are a short range known from its
+    running count alone; almost every row ends none and is dropped at once.
     """
     sizes = ranked.groupBy("feature").agg(F.sum("baseline_n").alias("n")).where("n > 0")
-    i = F.col("part")
-    scaled = (F.col("n") - 1) * i
-    low = F.floor(scaled / F.lit(parts)).cast("bigint")
-    # one row per feature and quantile: bounded by the column list, not by the data
-    wanted = (
-        sizes.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts))))
-        .select(
-            "feature",
-            F.struct(
-                i.alias("part"),
-                (scaled - F.floor(scaled / F.lit(parts)) * parts).cast("bigint").alias("rest"),
-                low.alias("low"),
-                F.least(low + 1, F.col("n") - 1).alias("high"),
-            ).alias("target"),
-        )
-        .groupBy("feature")
-        .agg(F.collect_list("target").alias("targets"))
+    # sizes: one row per feature
+    covering = ranked.where("baseline_n > 0").join(F.broadcast(sizes), "feature").selectExpr(
+        "feature",
+        "value",
+        "n",
+        "baseline_before as start",
+        "baseline_before + baseline_n as stop",
+        # least i with low >= start - 1, and greatest i with low < stop
+        f"if(n = 1, 0, greatest(0, ((baseline_before - 1) * {parts} + n - 2) div (n - 1))) as first_part",
+        f"if(n = 1, {parts}, least({parts}, ((baseline_before + baseline_n) * {parts} - 1) div (n - 1))) as last_part",
     )
-    start, stop = F.col("baseline_before"), F.col("baseline_before") + F.col("baseline_n")
+    ended = covering.where("first_part <= last_part").select(
+        "feature", "value", "n", "start", "stop",
+        F.explode(F.sequence(F.col("first_part").cast("int"), F.col("last_part").cast("int"))).alias("part"),
+    )
+    placed = ended.withColumns({"low": F.expr(f"(n - 1) * part div {parts}"), "rest": F.expr(f"(n - 1) * part % {parts}")})
 
-    def covered(position):
-        return (position >= start) & (position < stop)
+    def value_at(position: str):
+        return F.max(F.when(F.expr(f"{position} >= start and {position} < stop"), F.col("value")))
 
-    hits = (
-        ranked.where("baseline_n > 0")
-        .join(F.broadcast(wanted), "feature")
-        .select(
-            "feature",
-            "value",
-            "baseline_before",
-            "baseline_n",
-            F.explode(
-                F.filter("targets", lambda t: covered(t["low"]) | covered(t["high"]))
-            ).alias("target"),
-        )
-    )
-    ends = hits.groupBy("feature", F.col("target.part").alias("part")).agg(
-        F.max(F.when(covered(F.col("target.low")), F.col("value"))).alias("low_value"),
-        F.max(F.when(covered(F.col("target.high")), F.col("value"))).alias("high_value"),
-        F.max("target.rest").alias("rest"),
-    )
-    share = F.col("rest").cast("double") / F.lit(float(parts))
-    return ends.select(
-        "feature",
-        "part",
-        (F.col("low_value") + (F.col("high_value") - F.col("low_value")) * share).alias("edge"),
+    ends = placed.groupBy("feature", "part").agg(
+        value_at("low").alias("low_value"), value_at("low + 1").alias("high_value"), F.max("rest").alias("rest")
     )
+    step = (F.col("high_value") - F.col("low_value")) * (F.col("rest").cast("double") / F.lit(float(parts)))
+    edge = F.when(F.col("rest") == 0, F.col("low_value")).otherwise(F.col("low_value") + step)
+    return ends.select("feature", "part", edge.alias("edge"))
 
 
 def bin_edges(ranked: DataFrame, bins: int = contract.PSI_BINS) -> DataFrame:
@@ -120,15 +98,18 @@ def bin_edges(ranked: DataFrame, bins: int = contract.PSI_BINS) -> DataFrame:
     )
 
 
-def histogram(ranked: DataFrame, edges: DataFrame) -> DataFrame:
-    """(feature, bin, baseline_n, current_n); bins are half open, the last one closed, outside dropped."""
+def histogram(ranked: DataFrame, edges: DataFrame, bins: int = contract.PSI_BINS) -> DataFrame:
+    """(feature, bin, n_edges, baseline_n, current_n); bins are half open, the last one closed, outside dropped."""
     value, e = F.col("value"), F.col("edges")
     last = F.element_at(e, -1)
-    position = F.least(F.size(F.filter(e, lambda x: x <= value)), F.size(e) - 1)
+    reached = sum(
+        (F.coalesce((F.get(e, F.lit(i)) <= value).cast("int"), F.lit(0)) for i in range(1, bins + 1)), F.lit(1)
+    )
+    position = F.least(reached, F.size(e) - 1)
     return (
         ranked.join(F.broadcast(edges.where(F.size("edges") >= 2)), "feature")
         .where((value >= e[0]) & (value <= last))
-        .groupBy("feature", position.alias("bin"))
+        .groupBy("feature", position.alias("bin"), F.size(e).alias("n_edges"))
         .agg(F.sum("baseline_n").alias("baseline_n"), F.sum("current_n").alias("current_n"))
     )
 
@@ -157,8 +138,7 @@ def numeric_drift_of(
     sizes = ranked.groupBy("feature").agg(
         F.sum("baseline_n").alias("baseline_rows"), F.sum("current_n").alias("current_rows")
     )
-    edges = bin_edges(ranked, bins)
-    binned = histogram(ranked, edges)
+    binned = histogram(ranked, bin_edges(ranked, bins), bins)
     # at most `bins` rows per feature: the shares need the in-range totals of both sides
     per_feature = Window.partitionBy("feature")
 
@@ -166,18 +146,19 @@ def numeric_drift_of(
         total = F.greatest(F.sum(side).over(per_feature), F.lit(1))
         return fn.clipped_share(F.col(side).cast("double") / total.cast("double"))
 
-    shares = binned.select("feature", "bin", share("baseline_n").alias("e"), share("current_n").alias("a"))
-    index = shares.groupBy("feature").agg(F.sum((F.col("a") - F.col("e")) * F.ln(F.col("a") / F.col("e"))).alias("psi"))
+    shares = binned.select("feature", "n_edges", share("baseline_n").alias("e"), share("current_n").alias("a"))
+    index = shares.groupBy("feature", "n_edges").agg(
+        F.sum((F.col("a") - F.col("e")) * F.ln(F.col("a") / F.col("e"))).alias("psi")
+    )
     names = ranked.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
     defined = (
         (F.col("baseline_rows") >= bins)
         & (F.col("current_rows") >= contract.PSI_MIN_CURRENT_ROWS)
-        & (F.size("edges") >= contract.PSI_MIN_EDGES)
+        & (F.col("n_edges") >= contract.PSI_MIN_EDGES)
     )
     psi = F.when(defined, F.col("psi"))
     return (
         names.join(sizes, "feature", "left")
-        .join(edges, "feature", "left")
         .join(index, "feature", "left")
         .select("feature", psi.alias("psi"), fn.band(psi, warning, alert).alias("status"))
     )

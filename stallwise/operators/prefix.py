@@ -1,6 +1,7 @@
 """Running sums over sorted groups of any size.
 
-A window sends a whole group to one task. Here every group is cut into ordered slices first:
+A window sends a whole group to one task. That is done only where every group has been counted and is
+small. Otherwise each group is cut into ordered slices:
 
 1. totals per (group, slice), combined map-side;
 2. a window over those totals gives the sum before each slice: per group one row per slice;
@@ -22,8 +23,8 @@ from stallwise.session import durable
 SLICE = "_slice"
 LEADING = "_leading"
 PREVIOUS = "_previous_"
-# Rows of one (group, day) that one task sorts without trouble; beyond it range slices are used.
-MAX_SLICE_ROWS = 2_000_000
+# Rows of one group, or of one (group, slice), that one task sorts without trouble.
+MAX_TASK_ROWS = 2_000_000
 
 
 def slice_count(df: DataFrame) -> int:
@@ -40,47 +41,71 @@ def range_sliced(df: DataFrame, keys: list[Column], slices: int | None = None) -
     return durable(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
+def largest(df: DataFrame, keys: list[str]) -> int:
+    """Rows of the largest group; the counts are combined map-side."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def running_sums(
     df: DataFrame,
     group: list[str],
     order: list[Column],
     sums: dict[str, Column],
-    slice_by: Column | None = None,
-    max_slice_rows: int = MAX_SLICE_ROWS,
+    max_task_rows: int | None = None,
 ) -> DataFrame:
     """Adds, per output name, the sum of an expression over the earlier rows of the group.
 
     The current row is excluded; the sum of no rows is 0. ``order`` has to be a total order within a
-    group. ``slice_by`` must not decrease along ``order``; it is taken when no (group, slice) holds
-    more than ``max_slice_rows`` rows, and range slices otherwise.
+    group. Meant for reduced rows (one per distinct value): they are stored, counted per group, and then
+    either ranked by one window or cut into range slices.
+    """
+    stored = durable(df)
+    if largest(stored, group) <= (max_task_rows or MAX_TASK_ROWS):
+        whole = Window.partitionBy(*([F.col(g) for g in group] or [F.lit(1)])).orderBy(*order)
+        before = whole.rowsBetween(Window.unboundedPreceding, -1)
+        return stored.withColumns({n: F.coalesce(F.sum(v).over(before), F.lit(0)) for n, v in sums.items()})
+    sliced = range_sliced(stored, [*[F.col(g) for g in group], *order])
+    return summed_by_slice(sliced, slice_totals(sliced, group, sums), group, order, sums)
+
+
+def running_sums_by_slice(
+    df: DataFrame,
+    group: list[str],
+    order: list[Column],
+    sums: dict[str, Column],
+    slice_by: Column,
+    max_task_rows: int | None = None,
+) -> DataFrame:
+    """``running_sums`` for wide detail rows that come with a natural slice, so they are not stored.
+
+    ``slice_by`` must not decrease along ``order``. It is taken when no (group, slice) holds more than
+    ``max_task_rows`` rows, which the stored totals tell; range slices are taken otherwise.
     """
-    addends = {name: F.coalesce(value, F.lit(0)).alias(name) for name, value in sums.items()}
-
-    def totals(sliced: DataFrame) -> DataFrame:
-        return (
-            sliced.select(*group, SLICE, *addends.values())
-            .groupBy(*group, SLICE)
-            .agg(*[F.sum(name).alias(PREVIOUS + name) for name in sums], F.count("*").alias("_rows"))
-        )
-
-    cells = sliced = None
-    if slice_by is not None:
-        sliced = df.withColumn(SLICE, slice_by)
-        cells = durable(totals(sliced))
-        largest = cells.agg(F.max("_rows")).first()[0] or 0
-        if largest > max_slice_rows:
-            cells = None
-    if cells is None:
+    sliced = df.withColumn(SLICE, slice_by)
+    totals = durable(slice_totals(sliced, group, sums))
+    if (totals.agg(F.max("_rows")).first()[0] or 0) > (max_task_rows or MAX_TASK_ROWS):
         sliced = range_sliced(df, [*[F.col(g) for g in group], *order])
-        cells = totals(sliced)
+        totals = slice_totals(sliced, group, sums)
+    return summed_by_slice(sliced, totals, group, order, sums)
+
 
+def slice_totals(sliced: DataFrame, group: list[str], sums: dict[str, Column]) -> DataFrame:
+    return sliced.groupBy(*group, SLICE).agg(
+        *[F.coalesce(F.sum(value), F.lit(0)).alias(PREVIOUS + name) for name, value in sums.items()],
+        F.count("*").alias("_rows"),
+    )
+
+
+def summed_by_slice(
+    sliced: DataFrame, totals: DataFrame, group: list[str], order: list[Column], sums: dict[str, Column]
+) -> DataFrame:
     keys = [F.col(g) for g in group]
     before_slice = (
         Window.partitionBy(*(keys or [F.lit(1)]))
         .orderBy(F.col(SLICE).asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = cells.select(
+    starts = totals.select(
         *group,
         SLICE,
         F.lit(True).alias(LEADING),
@@ -108,20 +133,20 @@ def running_mean_before(
     order: list[Column],
     value: str,
     out: str,
-    slice_by: Column | None = None,
-    max_slice_rows: int = MAX_SLICE_ROWS,
+    slice_by: Column,
+    max_task_rows: int | None = None,
 ) -> DataFrame:
     """Mean of ``value`` over the earlier rows of the group; nulls are skipped, null before the first value.
 
     Rows whose group is null form one group.
     """
-    added = running_sums(
+    added = running_sums_by_slice(
         df,
         [group],
         order,
         {"_value_sum": F.col(value), "_value_n": F.col(value).isNotNull().cast("bigint")},
         slice_by,
-        max_slice_rows,
+        max_task_rows,
     )
     return added.withColumn(
         out, F.try_divide(F.col("_value_sum").cast("double"), F.col("_value_n").cast("double"))

@@ -94,6 +94,7 @@ def latest_predictions(bridge: DataFrame, n: int = 10) -> DataFrame:
     return bridge.orderBy(F.col("order_date").desc_nulls_last(), F.col("order_id")).limit(n)
 
 
+# Violation texts.
 LEAK_REASONS = {
     "label_unexpected": "is_delayed present but order not eligible for delay label",
     "label_absent": "is_delayed null but order eligible for delay label",

@@ -14,61 +14,64 @@ from pyspark.sql import functions as F
 from stallwise import contract
 from stallwise.functions import columns as fn
 from stallwise.operators import classification, drift, splits
-from stallwise.operators.prefix import running_sums
 from stallwise.plans.features import coerce_features, validate_columns
 from stallwise.session import fresh_path
 from stallwise.sources import sinks
 
 POOLED = "infrequent"
+# Every iteration is one job over all partitions: small training sets are read in few of them.
+ROWS_PER_TRAINING_TASK = 250_000
 TIME = "order_purchase_timestamp"
 
 
 def numeric_statistics(train: DataFrame, features: list[str] = contract.NUMERIC_FEATURES) -> DataFrame:
     """(feature, median, mean, scale): exact median, then mean and population deviation after imputing it.
 
-    Values are counted first, so the median comes from running counts instead of a buffer with all
-    values, and the deviation takes a second pass over the counts around the mean.
+    Medians come from running counts per distinct value instead of a buffer with all values. Mean and
+    deviation of the present values take one wide aggregate; the imputed rows are added in closed form.
     """
     counts = (
         drift.long_values(train, features, fn.lenient_double)
-        .groupBy("feature", F.when(fn.defined(F.col("value")), F.col("value")).alias("value"))
+        .where(fn.defined(F.col("value")))
+        .groupBy("feature", "value")
         .agg(F.count("*").alias("baseline_n"))
     )
-    ranked = running_sums(
-        counts,
-        ["feature"],
-        [F.col("value").asc_nulls_last()],
-        {"baseline_before": F.col("baseline_n")},
+    medians = drift.quantiles(drift.with_ranks(counts), 2).where("part = 1").select(
+        "feature", F.col("edge").alias("median")
     )
-    present = ranked.where(F.col("value").isNotNull())
-    medians = drift.quantiles(present, 2).where("part = 1").select("feature", F.col("edge").alias("median"))
-    sizes = ranked.groupBy("feature").agg(
-        F.sum("baseline_n").alias("n"),
-        F.sum(F.when(F.col("value").isNull(), F.col("baseline_n")).otherwise(0)).alias("n_null"),
-        F.sum(F.col("value") * F.col("baseline_n")).alias("total"),
+    present = {c: F.when(fn.defined(number), number) for c in features for number in [fn.lenient_double(F.col(c))]}
+    moments = train.agg(
+        F.count("*").alias("n"),
+        *[F.count(v).alias(f"n_{c}") for c, v in present.items()],
+        *[F.avg(v).alias(f"mean_{c}") for c, v in present.items()],
+        *[F.var_pop(v).alias(f"var_{c}") for c, v in present.items()],
     )
-    median = F.coalesce("median", F.lit(0.0))
-    # one row per feature from here on
-    means = sizes.join(medians, "feature", "left").select(
-        "feature",
-        "n",
-        "n_null",
-        median.alias("median"),
-        ((F.coalesce("total", F.lit(0.0)) + F.col("n_null") * median) / F.col("n")).alias("mean"),
-    )
-    spread = (
-        present.join(F.broadcast(means.select("feature", "mean")), "feature")
-        .groupBy("feature")
-        .agg(F.sum(F.col("baseline_n") * F.pow(F.col("value") - F.col("mean"), F.lit(2))).alias("squares"))
+    per_feature = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("feature"),
+                F.col(f"n_{c}").alias("n_present"),
+                F.coalesce(f"mean_{c}", F.lit(0.0)).alias("present_mean"),
+                F.coalesce(f"var_{c}", F.lit(0.0)).alias("present_var"),
+            )
+            for c in features
+        ]
     )
-    variance = (
-        F.coalesce("squares", F.lit(0.0)) + F.col("n_null") * F.pow(F.col("median") - F.col("mean"), F.lit(2))
-    ) / F.col("n")
-    return means.join(spread, "feature", "left").select(
-        "feature",
-        "median",
-        "mean",
-        F.when(variance > 0, F.sqrt(variance)).otherwise(F.lit(1.0)).alias("scale"),
+    median, mean = F.coalesce("median", F.lit(0.0)), F.col("mean")
+    n_imputed = F.col("n") - F.col("n_present")
+    combined_mean = (F.col("n_present") * F.col("present_mean") + n_imputed * median) / F.col("n")
+    spread = F.col("n_present") * (F.col("present_var") + F.pow(F.col("present_mean") - mean, F.lit(2)))
+    variance = (spread + n_imputed * F.pow(median - mean, F.lit(2))) / F.col("n")
+    return (
+        moments.select("n", F.inline(per_feature))
+        .join(medians, "feature", "left")
+        .withColumn("mean", combined_mean)
+        .select(
+            "feature",
+            median.alias("median"),
+            "mean",
+            F.when(variance > 0, F.sqrt(variance)).otherwise(F.lit(1.0)).alias("scale"),
+        )
     )
 
 
@@ -188,6 +191,7 @@ def fit(train: DataFrame, version: str, max_iter: int = contract.MAX_ITERATIONS)
     labels = slot_labels(vocabulary)
     rows = train.count()
     encoded = encode(train, statistics, labels, vocabulary)
+    encoded = encoded.coalesce(1 + rows // ROWS_PER_TRAINING_TASK)
     cats = contract.CATEGORICAL_FEATURES
     vectors = [f"_v_{c}" for c in cats]
     pipeline = Pipeline(
@@ -203,7 +207,6 @@ def fit(train: DataFrame, version: str, max_iter: int = contract.MAX_ITERATIONS)
                 regParam=1.0 / rows,
                 elasticNetParam=0.0,
                 standardization=False,
-                tol=1e-8,
             ),
         ]
     )

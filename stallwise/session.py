@@ -17,8 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # dated prediction partitions are replaced one by one
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # checkpoint files go away with the DataFrame they belong to
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -37,14 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    current = spark.sparkContext.getCheckpointDir()
+    if current is not None:
+        return current
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    current = context.getCheckpointDir()
-    if current is None:
-        current = tempfile.mkdtemp(prefix="stallwise-")
-        context.setCheckpointDir(current)
-    return current
+    own = tempfile.mkdtemp(prefix="stallwise-")
+    spark.sparkContext.setCheckpointDir(own)
+    return own
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -53,13 +51,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the shared folder and cut its lineage.
+    """Write ``df`` to the shared folder and go on from the written table.
 
     Used where a value must not change when a task is run again (range-partition numbers), and where
-    one aggregate feeds several later steps.
+    one aggregate feeds several later steps. A lost executor costs nothing already written, and readers
+    take only the columns they need.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = fresh_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
