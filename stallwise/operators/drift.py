@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stallwise import contract
 from stallwise.functions import columns as fn
 from stallwise.operators.prefix import running_sums
+from stallwise.session import durable
 
 
 def shared_features(baseline: DataFrame, current: DataFrame, wanted: list[str]) -> list[str]:
@@ -251,7 +252,8 @@ def drift_report(
     categorical: list[str] = contract.CATEGORICAL_FEATURES,
     bins: int = contract.PSI_BINS,
 ) -> DriftReport:
-    numbers = numeric_drift(baseline, current, numeric, bins)
-    shares = category_shares(baseline, current, categorical)
+    # stored: both are read for the report and again for the overall status
+    numbers = durable(numeric_drift(baseline, current, numeric, bins))
+    shares = durable(category_shares(baseline, current, categorical))
     categories = categorical_drift_of(shares)
     return DriftReport(numbers, categories, top_shifts(shares), overall_status(numbers, categories))

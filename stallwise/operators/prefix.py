@@ -27,23 +27,25 @@ PREVIOUS = "_previous_"
 MAX_TASK_ROWS = 2_000_000
 
 
-def slice_count(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def slice_count(df: DataFrame, rows: int, task_rows: int) -> int:
+    """Enough slices for tasks of ``task_rows`` rows, and no fewer than the session's shuffle partitions."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // task_rows))
 
 
-def range_sliced(df: DataFrame, keys: list[Column], slices: int | None = None) -> DataFrame:
+def range_sliced(df: DataFrame, keys: list[Column], slices: int) -> DataFrame:
     """Adds the number of the range partition over ``keys``; numbers follow the order of the keys.
 
     Range bounds come from a sample, so the numbers are stored before use: a task that runs again must
     not see other bounds.
     """
-    ranged = df.repartitionByRange(slices or slice_count(df), *keys)
+    ranged = df.repartitionByRange(slices, *keys)
     return durable(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
-def largest(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group; the counts are combined map-side."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+def largest_and_all(counts: DataFrame, n: str) -> tuple[int, int]:
+    """Rows of the largest group and of all groups, from a count per group."""
+    row = counts.agg(F.max(n), F.sum(n)).first()
+    return row[0] or 0, row[1] or 0
 
 
 def running_sums(
@@ -59,12 +61,14 @@ def running_sums(
     group. Meant for reduced rows (one per distinct value): they are stored, counted per group, and then
     either ranked by one window or cut into range slices.
     """
+    limit = max_task_rows or MAX_TASK_ROWS
     stored = durable(df)
-    if largest(stored, group) <= (max_task_rows or MAX_TASK_ROWS):
+    largest, rows = largest_and_all(stored.groupBy(*group).agg(F.count("*").alias("n")), "n")
+    if largest <= limit:
         whole = Window.partitionBy(*([F.col(g) for g in group] or [F.lit(1)])).orderBy(*order)
         before = whole.rowsBetween(Window.unboundedPreceding, -1)
         return stored.withColumns({n: F.coalesce(F.sum(v).over(before), F.lit(0)) for n, v in sums.items()})
-    sliced = range_sliced(stored, [*[F.col(g) for g in group], *order])
+    sliced = range_sliced(stored, [*[F.col(g) for g in group], *order], slice_count(df, rows, limit))
     return summed_by_slice(sliced, slice_totals(sliced, group, sums), group, order, sums)
 
 
@@ -83,8 +87,10 @@ def running_sums_by_slice(
     """
     sliced = df.withColumn(SLICE, slice_by)
     totals = durable(slice_totals(sliced, group, sums))
-    if (totals.agg(F.max("_rows")).first()[0] or 0) > (max_task_rows or MAX_TASK_ROWS):
-        sliced = range_sliced(df, [*[F.col(g) for g in group], *order])
+    limit = max_task_rows or MAX_TASK_ROWS
+    largest, rows = largest_and_all(totals, "_rows")
+    if largest > limit:
+        sliced = range_sliced(df, [*[F.col(g) for g in group], *order], slice_count(df, rows, limit))
         totals = slice_totals(sliced, group, sums)
     return summed_by_slice(sliced, totals, group, order, sums)
 

@@ -46,8 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that nothing else uses.
+
+    All paths of one application share one folder, which may be deleted when the application has ended.
+    """
+    application = f"stallwise-{spark.sparkContext.applicationId}"
+    return f"{shared_dir(spark).rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame) -> DataFrame:

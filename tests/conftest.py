@@ -41,5 +41,5 @@ def task_rows(request, monkeypatch):
     from stallwise.operators import prefix
 
     if request.param == "slices":
-        monkeypatch.setattr(prefix, "MAX_TASK_ROWS", 3)
+        monkeypatch.setattr(prefix, "MAX_TASK_ROWS", 40)
     return request.param
