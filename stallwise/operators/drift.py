@@ -23,11 +23,8 @@ def shared_features(baseline: DataFrame, current: DataFrame, wanted: list[str])
 
 
 def long_values(df: DataFrame, features: list[str], cast) -> DataFrame:
-    """(feature, value) rows from one scan."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("feature"), cast(F.col(c)).alias("value")) for c in features]
-    )
-    return df.select(F.inline(pairs))
+    """(feature, value) rows from one scan; an unpivot stays inside generated code."""
+    return df.select(*[cast(F.col(c)).alias(c) for c in features]).unpivot([], features, "feature", "value")
 
 
 def value_counts(baseline: DataFrame, current: DataFrame, features: list[str], cast) -> DataFrame:
