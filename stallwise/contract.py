@@ -36,6 +36,7 @@ PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card", "not_defined"
 NO_CATEGORY = "uncategorized"
 MISSING_CATEGORY = "missing"
 NULL_CATEGORY = "__NULL__"
+# a null part of a surrogate key is hashed as this text
 KEY_NULL_MARKER = "_dbt_utils_surrogate_key_null_"
 
 # Thresholds.
