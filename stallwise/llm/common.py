@@ -51,12 +51,13 @@ def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return condition
 
 
-def gapless(df: DataFrame, group: str, order: list[Column], out: str, buckets: int = BUCKETS) -> DataFrame:
+def gapless(df: DataFrame, group: str, order: list[Column], out: str, buckets: int = BUCKETS, few_groups: bool = False) -> DataFrame:
     """Numbers the rows of each group 0, 1, 2, ... without bringing a group together.
 
     Rows go to buckets by a hash of ``order``, which should tell rows of a group apart; a bucket's rows are ranked
     in one task, and a window over the bucket sizes, at most ``buckets`` rows per group, says where each bucket begins.
-    ``df`` is read twice, so it should be a stored table. A null group is a group.
+    ``df`` is read twice, so it should be a stored table. A null group is a group. With ``few_groups`` the caller vouches
+    for a small number of groups, and the bucket table, ``buckets`` rows of each, is broadcast.
     """
     tagged = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,8 +67,10 @@ def gapless(df: DataFrame, group: str, order: list[Column], out: str, buckets: i
     )
     within = Window.partitionBy(group, "_bucket").orderBy(*order)
     ranked = tagged.withColumn("_rank", F.row_number().over(within) - 1)
+    if few_groups:
+        starts = F.broadcast(starts)
     return (
-        ranked.join(starts, ranked[group].eqNullSafe(starts["_group"]) & (ranked["_bucket"] == starts["_at"]))
+        ranked.join(starts, ranked[group].eqNullSafe(F.col("_group")) & (ranked["_bucket"] == F.col("_at")))
         .withColumn(out, (F.col("_start") + F.col("_rank")).cast("bigint"))
         .drop("_bucket", "_rank", "_start", "_group", "_at")
     )

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import block_ann, quality_mcd
-from stallwise.llm.common import table
+from stallwise.llm import block_ann, jaccard_tgm, langid_ftrl, maxent, pfair, quality_mcd
+from stallwise.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,54 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_mcd.COUNTS, "base_failed", "kept", "distance")
 
 
+@query
+def op3_maximum_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scored(table(spark, sf_dir, "documents"), crc_of_id() % 10 == 0)
+
+
+@query
+def op6_langid_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = crc_of_id() % 5 == 0
+    model = langid_ftrl.train(documents, ~held_out)
+    return langid_ftrl.predicted(documents.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair.mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+@query
+def op9_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_tgm.joined(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_token_group_join"] = r"""
+with recursive docs as (
+  select doc_id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda w: w <> '') as w
+  from documents
+), sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) end as s
+  from docs
+), items as (select doc_id, len(s) as n, unnest(s) as t from sets
+), inter as (
+  select a.doc_id as x, b.doc_id as y, a.n as nx, b.n as ny, count(*) as c
+  from items a join items b on a.t = b.t and a.doc_id <> b.doc_id and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  group by all
+), links as (select x, y from inter where 100 * c >= 90 * (nx + ny - c)
+), reach as (
+  select doc_id, doc_id as seen from sets
+  union
+  select r.doc_id, l.y from reach r join links l on r.seen = l.x
+)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, min(r.seen) as component_id
+from sets s join reach r on s.doc_id = r.doc_id group by s.doc_id, len(s.s)
+"""
+
+
 @query
 def op10_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
