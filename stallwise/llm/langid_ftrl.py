@@ -263,3 +263,16 @@ def predicted(documents: DataFrame, model: Model) -> DataFrame:
 
     schema = StructType([*carried.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType())
     return carried.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, schema)
+
+
+def told(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The documents with a letter whose predicted language has a probability of at least ``least``, all columns."""
+    rule = model.rule()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [rule(text) for text in text_bytes(batch.column("_text"))]
+            keep = pa.array([language != UNKNOWN and score >= least for language, score in found], pa.bool_())
+            yield batch.select(batch.schema.names[:-1]).filter(keep)
+
+    return documents.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, documents.schema)

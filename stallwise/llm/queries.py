@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import block_ann, jaccard_tgm, langid_ftrl, maxent, pfair, quality_mcd
+from stallwise.llm import block_ann, jaccard_tgm, langid_ftrl, maxent, pfair, quality_mcd, sp_scan
 from stallwise.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,15 @@ def op3_maximum_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.scored(table(spark, sf_dir, "documents"), crc_of_id() % 10 == 0)
 
 
+@query
+def op4_max_plus_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sp_scan.load()
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.col("text").cast("binary")).alias("crc"), F.octet_length("text").alias("size"))
+    ids = sp_scan.encoded(rows, pieces).drop("text")
+    exact = F.crc32(F.col("decoded").cast("binary")).eqNullSafe(F.col("crc")) & F.octet_length("decoded").eqNullSafe(F.col("size"))
+    return sp_scan.decoded(ids, pieces).select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), exact.alias("exact"))
+
+
 @query
 def op6_langid_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -51,7 +60,8 @@ def op9_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op9_token_group_join"] = r"""
 with recursive docs as (
   select doc_id, list_filter(regexp_split_to_array(
-      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda w: w <> '') as w
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda w: w <> '') as w
   from documents
 ), sets as (
   select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
