@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stallwise.llm import quality_mcd
+from stallwise.llm import jaccard_tgm, langid_ftrl, pfair, quality_mcd, sp_scan
+from stallwise.llm.common import crc_of_id
 from stallwise.session import fresh_path
 
 
@@ -13,8 +15,33 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_mcd.filtered(docs)
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with letters whose language is told with a probability of at least one half."""
+    model = langid_ftrl.train(docs, crc_of_id() % 5 != 0)
+    return langid_ftrl.told(docs, model, least=0.5)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles of a similarity of 0.8 or more."""
+    return jaccard_tgm.first_of_each(docs, width=5, percent=80)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in files and rows that follow the mixed order of the sources."""
+    return pfair.in_order(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source and token ids of every document."""
+    return sp_scan.encoded(docs, sp_scan.load()).select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_ids"))
+
+
 STAGES = [
     ("quality rules", quality),
+    ("language identification", language),
+    ("near duplicates", near_duplicates),
+    ("source mixing", mixing),
+    ("token ids", encoding),
 ]
 
 # Robust estimates, trained models and schedules are beyond SQL; tests/llm compares each stage with a plain version.
