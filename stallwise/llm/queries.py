@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import block_ann, jaccard_tgm, langid_ftrl, maxent, pfair, quality_mcd, sp_scan
+from stallwise.llm import block_ann, jaccard_tgm, langid_ftrl, maxent, pfair, quality_mcd, sharding_lp, sp_scan
 from stallwise.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_mcd.COUNTS, "base_failed", "kept", "distance")
 
 
+@query
+def op2_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding_lp.sharded(sharding_lp.text_nodes(table(spark, sf_dir, "documents")), shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op3_maximum_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.scored(table(spark, sf_dir, "documents"), crc_of_id() % 10 == 0)
