@@ -1,16 +1,14 @@
 """Running sums over sorted groups of any size.
 
-A window sends a whole group to one task. That is done only where every group has been counted and is
-small. Otherwise each group is cut into ordered slices:
+A window over a whole group would send it to one task. Instead all rows are cut into ordered slices, the range
+partitions over (group, order), which split any group, including one in which every row has the same time:
 
 1. totals per (group, slice), combined map-side;
-2. a window over those totals gives the sum before each slice: per group one row per slice;
+2. a window over those totals gives the sum before each slice: per group one row per slice it touches;
 3. each slice receives its starting sum as an extra leading row, and a window inside (group, slice)
    adds up the rows.
 
-The detail rows are shuffled once and a task holds one slice of a group at a time. A slice is either
-a function of the row (a calendar day), or the number of a range partition over (group, order),
-which splits any group, including one in which every row has the same time.
+Rows are stored once before they are cut and once with their slice; totals and details read the latter.
 """
 
 from __future__ import annotations
@@ -23,82 +21,33 @@ from stallwise.session import durable
 SLICE = "_slice"
 LEADING = "_leading"
 PREVIOUS = "_previous_"
-# Rows of one group, or of one (group, slice), that one task sorts without trouble.
-MAX_TASK_ROWS = 2_000_000
 
 
-def slice_count(df: DataFrame, rows: int, task_rows: int) -> int:
-    """Enough slices for tasks of ``task_rows`` rows, and no fewer than the session's shuffle partitions."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // task_rows))
-
-
-def range_sliced(df: DataFrame, keys: list[Column], slices: int) -> DataFrame:
+def range_sliced(df: DataFrame, keys: list[Column], slices: int | None = None) -> DataFrame:
     """Adds the number of the range partition over ``keys``; numbers follow the order of the keys.
 
-    Range bounds come from a sample, so the numbers are stored before use: a task that runs again must
-    not see other bounds.
+    As many slices as the session has shuffle partitions, which grow with the data. The rows are stored first,
+    because the bounds come from a sample that reads them too, and again with their numbers: a task that runs
+    again must not see other bounds.
     """
-    ranged = df.repartitionByRange(slices, *keys)
+    number = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = durable(df).repartitionByRange(number, *keys)
     return durable(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
-def largest_and_all(counts: DataFrame, n: str) -> tuple[int, int]:
-    """Rows of the largest group and of all groups, from a count per group."""
-    row = counts.agg(F.max(n), F.sum(n)).first()
-    return row[0] or 0, row[1] or 0
-
-
-def running_sums(
-    df: DataFrame,
-    group: list[str],
-    order: list[Column],
-    sums: dict[str, Column],
-    max_task_rows: int | None = None,
-) -> DataFrame:
+def running_sums(df: DataFrame, group: list[str], order: list[Column], sums: dict[str, Column]) -> DataFrame:
     """Adds, per output name, the sum of an expression over the earlier rows of the group.
 
     The current row is excluded; the sum of no rows is 0. ``order`` has to be a total order within a
-    group. Meant for reduced rows (one per distinct value): they are stored, counted per group, and then
-    either ranked by one window or cut into range slices.
+    group. Meant for reduced or narrow rows.
     """
-    limit = max_task_rows or MAX_TASK_ROWS
-    stored = durable(df)
-    largest, rows = largest_and_all(stored.groupBy(*group).agg(F.count("*").alias("n")), "n")
-    if largest <= limit:
-        whole = Window.partitionBy(*([F.col(g) for g in group] or [F.lit(1)])).orderBy(*order)
-        before = whole.rowsBetween(Window.unboundedPreceding, -1)
-        return stored.withColumns({n: F.coalesce(F.sum(v).over(before), F.lit(0)) for n, v in sums.items()})
-    sliced = range_sliced(stored, [*[F.col(g) for g in group], *order], slice_count(df, rows, limit))
+    sliced = range_sliced(df, [*[F.col(g) for g in group], *order])
     return summed_by_slice(sliced, slice_totals(sliced, group, sums), group, order, sums)
 
 
-def running_sums_by_slice(
-    df: DataFrame,
-    group: list[str],
-    order: list[Column],
-    sums: dict[str, Column],
-    slice_by: Column,
-    max_task_rows: int | None = None,
-) -> DataFrame:
-    """``running_sums`` for wide detail rows that come with a natural slice, so they are not stored.
-
-    ``slice_by`` must not decrease along ``order``. It is taken when no (group, slice) holds more than
-    ``max_task_rows`` rows, which the stored totals tell; range slices are taken otherwise.
-    """
-    sliced = df.withColumn(SLICE, slice_by)
-    totals = durable(slice_totals(sliced, group, sums))
-    limit = max_task_rows or MAX_TASK_ROWS
-    largest, rows = largest_and_all(totals, "_rows")
-    if largest > limit:
-        sliced = range_sliced(df, [*[F.col(g) for g in group], *order], slice_count(df, rows, limit))
-        totals = slice_totals(sliced, group, sums)
-    return summed_by_slice(sliced, totals, group, order, sums)
-
-
 def slice_totals(sliced: DataFrame, group: list[str], sums: dict[str, Column]) -> DataFrame:
     return sliced.groupBy(*group, SLICE).agg(
-        *[F.coalesce(F.sum(value), F.lit(0)).alias(PREVIOUS + name) for name, value in sums.items()],
-        F.count("*").alias("_rows"),
+        *[F.coalesce(F.sum(value), F.lit(0)).alias(PREVIOUS + name) for name, value in sums.items()]
     )
 
 
@@ -133,26 +82,13 @@ def summed_by_slice(
     )
 
 
-def running_mean_before(
-    df: DataFrame,
-    group: str,
-    order: list[Column],
-    value: str,
-    out: str,
-    slice_by: Column,
-    max_task_rows: int | None = None,
-) -> DataFrame:
+def running_mean_before(df: DataFrame, group: str, order: list[Column], value: str, out: str) -> DataFrame:
     """Mean of ``value`` over the earlier rows of the group; nulls are skipped, null before the first value.
 
     Rows whose group is null form one group.
     """
-    added = running_sums_by_slice(
-        df,
-        [group],
-        order,
-        {"_value_sum": F.col(value), "_value_n": F.col(value).isNotNull().cast("bigint")},
-        slice_by,
-        max_task_rows,
+    added = running_sums(
+        df, [group], order, {"_value_sum": F.col(value), "_value_n": F.col(value).isNotNull().cast("bigint")}
     )
     return added.withColumn(
         out, F.try_divide(F.col("_value_sum").cast("double"), F.col("_value_n").cast("double"))

@@ -9,6 +9,7 @@ from stallwise import contract
 from stallwise.functions import columns as fn
 from stallwise.operators.prefix import running_mean_before
 
+# The published column order.
 FEATURE_COLUMNS = [
     "order_id", "order_purchase_timestamp", "order_day_of_week", "order_hour", "order_month",
     "total_payment_value", "payment_installments", "payment_type_count", "product_weight_g",
@@ -27,12 +28,11 @@ def calendar_columns(at: str) -> list:
     ]
 
 
-def seller_history(orders: DataFrame, **limits) -> DataFrame:
+def seller_history(orders: DataFrame) -> DataFrame:
     """Adds the seller's mean delivery days over earlier orders.
 
-    Earlier means by purchase time, then order_id. Orders without a seller share one history. A seller's
-    history is cut into purchase days, so a seller with a large share of all orders is worked on by
-    many tasks.
+    Earlier means by purchase time, then order_id. Orders without a seller share one history. The rows are cut
+    into ranges of (seller, time, order), so a seller with a large share of all orders is worked on by many tasks.
     """
     return running_mean_before(
         orders,
@@ -40,8 +40,6 @@ def seller_history(orders: DataFrame, **limits) -> DataFrame:
         order=[F.col("order_purchased_at").asc_nulls_last(), F.col("order_id").asc()],
         value="delivery_days",
         out="seller_avg_delivery_days_historical",
-        slice_by=F.to_date("order_purchased_at"),
-        **limits,
     )
 
 
@@ -53,12 +51,12 @@ CORE_INPUTS = [
 
 
 def order_features(
-    core: DataFrame, customers_dim: DataFrame, sellers_dim: DataFrame, products_dim: DataFrame, **limits
+    core: DataFrame, customers_dim: DataFrame, sellers_dim: DataFrame, products_dim: DataFrame
 ) -> DataFrame:
     """One row per order of the core; the history is taken on narrow rows before the lookups widen them."""
     same_state = fn.flag(F.col("customer_state") == F.col("seller_state"))
     return (
-        seller_history(core.select(*CORE_INPUTS), **limits)
+        seller_history(core.select(*CORE_INPUTS))
         .join(customers_dim.select("customer_unique_id", "customer_state"), "customer_unique_id")
         .join(sellers_dim.select("seller_id", "seller_state"), "seller_id", "left")
         .join(products_dim.drop("product_key"), "product_id", "left")

@@ -33,13 +33,3 @@ def data(spark):
     import query_registry
 
     return query_registry.Data(spark, SF)
-
-
-@pytest.fixture(params=["window", "slices"])
-def task_rows(request, monkeypatch):
-    """Both ways of running sums: groups proven small, and groups too large for one task."""
-    from stallwise.operators import prefix
-
-    if request.param == "slices":
-        monkeypatch.setattr(prefix, "MAX_TASK_ROWS", 40)
-    return request.param

@@ -26,7 +26,7 @@ def frames(spark, base, cur, column="x"):
 
 
 @pytest.mark.parametrize("shift", [0.0, 0.7, 50.0])
-def test_psi_equals_numpy(spark, shift, task_rows):
+def test_psi_equals_numpy(spark, shift):
     rng = np.random.default_rng(3)
     base = np.round(rng.normal(size=400), 2)
     cur = np.round(rng.normal(size=300) + shift, 2)
@@ -51,7 +51,7 @@ def test_psi_of_equal_samples_is_zero(spark):
 
 @pytest.mark.parametrize("n", [1, 2, 5, 101, 256])
 @pytest.mark.parametrize("parts", [2, 10])
-def test_quantiles_equal_numpy(spark, n, parts, task_rows):
+def test_quantiles_equal_numpy(spark, n, parts):
     rng = np.random.default_rng(n)
     x = np.round(rng.exponential(size=n), 1)  # many repeats
     ranked = drift.with_ranks(drift.numeric_counts(*frames(spark, x, x[:0]), ["x"]))

@@ -96,9 +96,9 @@ def test_order_core_keeps_orders_without_items_and_drops_unknown_customers(spark
     assert metrics.met_daily_delay_rate(core).first()["delay_rate"] == 0.0
 
 
-def history(spark, rows, **limits):
+def history(spark, rows):
     df = spark.createDataFrame(rows, "seller_id string, order_purchased_at timestamp_ntz, order_id string, delivery_days int")
-    got = features.seller_history(df, **limits).collect()
+    got = features.seller_history(df).collect()
     return {r["order_id"]: r["seller_avg_delivery_days_historical"] for r in got}
 
 
@@ -107,12 +107,10 @@ def test_seller_history(spark):
             (None, T0, "x", 2), (None, datetime(2020, 1, 2), "y", 5)]
     expected = {"a": None, "b": 4.0, "c": 4.0, "d": 6.0, "x": None, "y": 2.0}
     assert history(spark, rows) == expected
-    # days too full for one task: range slices split even rows of one instant
-    assert history(spark, rows, max_task_rows=1) == expected
 
 
 def test_hot_seller_history_equals_brute_force(spark):
-    """One seller has most rows, many at one instant; both ways agree with the definition."""
+    """One seller has most rows, many at one instant."""
     rows = []
     for i in range(400):
         seller = "hot" if i % 10 else f"s{i % 3}"
@@ -123,7 +121,6 @@ def test_hot_seller_history_equals_brute_force(spark):
         earlier = [d for s, m, o, d in rows if s == seller and (m, o) < (moment, order) and d is not None]
         expected[order] = sum(earlier) / len(earlier) if earlier else None
     assert history(spark, rows) == expected
-    assert history(spark, rows, max_task_rows=20) == expected
 
 
 def test_leakage_reasons(spark, data):

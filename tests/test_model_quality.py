@@ -26,7 +26,7 @@ def sample():
     return [(i, round(rng.random(), 1), int(rng.random() < 0.3)) for i in range(300)]
 
 
-def test_auc_equals_pairs(spark, sample, task_rows):
+def test_auc_equals_pairs(spark, sample):
     report = cl.quality_report(frame(spark, sample), "p", "y", "c").first()
     assert report["roc_auc"] == pytest.approx(pair_auc(sample), abs=1e-12)
     assert report["n_rows"] == 300
@@ -52,7 +52,7 @@ def test_cost(spark):
 
 
 @pytest.mark.parametrize("fraction", [0.001, 0.1, 0.37, 1.0])
-def test_precision_at_top(spark, sample, fraction, task_rows):
+def test_precision_at_top(spark, sample, fraction):
     k = max(1, int(np.ceil(fraction * len(sample))))
     best = sorted(sample, key=lambda r: (-r[1], r[0]))[:k]
     row = cl.precision_at_top(frame(spark, sample), "p", "y", "k", fraction).first()
@@ -60,15 +60,14 @@ def test_precision_at_top(spark, sample, fraction, task_rows):
 
 
 @pytest.mark.parametrize("n, k", [(3, 1), (11, 2), (0, 0)])
-def test_places(spark, n, k, task_rows):
+def test_places(spark, n, k):
     """All scores tied: the lowest keys fill the places."""
     rows = [(i, 0.5, int(i == 0)) for i in range(n)]
     row = cl.precision_at_top(frame(spark, rows), "p", "y", "k", 0.1).first()
     assert (row["k"], row["precision_at_k"]) == (k, 1 / k if k else 0.0)
 
 
-@pytest.mark.parametrize("limit", [20, 1000])
-def test_running_sums(spark, limit):
+def test_running_sums(spark):
     """Groups of very different sizes, null group included; the partitioning of the input does not matter."""
     rng = random.Random(1)
     rows = [(rng.choice([None, "a", "a", "a", "b"]), i, rng.choice([None, 1, 2, 5])) for i in range(200)]
@@ -77,7 +76,7 @@ def test_running_sums(spark, limit):
     }
     for parts in (1, 5):
         df = spark.createDataFrame(rows, "g string, i int, v int").repartition(parts)
-        got = prefix.running_sums(df, ["g"], [F.col("i")], {"before": F.col("v")}, max_task_rows=limit)
+        got = prefix.running_sums(df, ["g"], [F.col("i")], {"before": F.col("v")})
         assert {r["i"]: r["before"] for r in got.collect()} == expected
 
 
@@ -87,3 +86,13 @@ def test_range_slices_follow_the_order(spark):
     bounds = sliced.groupBy(prefix.SLICE).agg(F.min("x").alias("a"), F.max("x").alias("b")).orderBy(prefix.SLICE).collect()
     assert len(bounds) > 1
     assert all(bounds[i]["b"] < bounds[i + 1]["a"] for i in range(len(bounds) - 1))
+
+
+def test_hot_score_and_value_are_sliced(spark):
+    """One score on 90 % of the rows: ranks by key are right and the tied rows lie in several slices."""
+    rows = [(i, 0.5 if i % 10 else i / 1000, int(i % 3 == 0)) for i in range(600)]
+    best = sorted(rows, key=lambda r: (-r[1], r[0]))[:60]
+    row = cl.precision_at_top(frame(spark, rows), "p", "y", "k", 0.1).first()
+    assert row["precision_at_k"] == pytest.approx(sum(r[2] for r in best) / 60)
+    sliced = prefix.range_sliced(frame(spark, rows), [F.col("p"), F.col("k")])
+    assert sliced.where("p = 0.5").select(prefix.SLICE).distinct().count() > 1
