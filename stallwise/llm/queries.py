@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import block_ann, jaccard_tgm, langid_ftrl, maxent, pfair, quality_mcd, sharding_lp, sp_scan
+from stallwise.llm import block_ann, jaccard_tgm, langid_ftrl, maxent, pfair, quality_mcd, quotes, revisits, sharding_lp, sp_scan
 from stallwise.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,79 @@ def op4_max_plus_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_scan.decoded(ids, pieces).select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), exact.alias("exact"))
 
 
+# Captures of every page: first fetch, not modified, changed page, not modified again. The same text in both dialects.
+CAPTURES = {
+    "record_id": "page_id * 4 + k",
+    "url": "case k when 1 then concat(url, '#again') when 3 then replace(url, 'http', 'HTTP') else url end",
+    "ts": "(page_id % 997) * 100 + k * 10",
+    "status": "case when k in (1, 3) then 304 when page_id % 23 = 0 then 404 else 200 end",
+    "etag": """case when page_id % 7 = 0 then null when k = 0 then concat('"', page_id, '"')
+      when k = 1 then concat('W/"', page_id, '"') when k = 3 and page_id % 5 = 0 then '"stale"' else concat('"', page_id, 'b"') end""",
+    "last_modified": "case when page_id % 11 = 0 then null else concat('day ', (page_id + case when k > 1 then 1 else 0 end) % 28) end",
+    "headers": """case when k in (1, 3) then concat('Date: ', k, '\nCache-Control: max-age=', page_id % 60, '\nContent-Length: 0')
+      else concat('Date: ', k, '\nContent-Type: text/html\nContent-Length: ', length(html), '\nVary: a\nVary: b\nCache-Control: no-cache') end""",
+    "digest": "case when k in (1, 3) then null else md5(concat(html, k)) end",
+    "body_bytes": "case when k in (1, 3) then null else cast(length(html) as bigint) end",
+}
+
+
+@query
+def op5_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html", F.explode(F.array(*[F.lit(k) for k in range(4)])).alias("k"))
+    return revisits.resolved(pages.selectExpr(*[f"{text} as {name}" for name, text in CAPTURES.items()]))
+
+
+ORACLES["op5_revisit_resolution"] = (
+    "with captures as (select " + ", ".join(f"{text.replace(chr(92) + 'n', chr(10))} as {name}" for name, text in CAPTURES.items())
+    + " from (select *, unnest([0, 1, 2, 3]) as k from pages))"
+    + r"""
+, split as (
+  select *, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1) as host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)', 1) as path,
+    regexp_extract(url, '^[^?#]*[?]([^#]*)', 1) as query
+  from captures
+), keyed as (
+  select *, case when host = '' then null else regexp_replace(lower(host), ':(80|443)$', '')
+      || case when regexp_replace(path, '/+$', '') = '' then '/' else regexp_replace(path, '/+$', '') end
+      || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(query, '&'), lambda p: p <> '' and not starts_with(p, 'utm_'))), '&'), ''), '') end as url_key
+  from split
+), full_records as (select * from keyed where status between 200 and 299 and url_key is not null
+), latest as (
+  select r.record_id, arg_max(f.record_id, f.ts * 1000000000 + f.record_id) as source
+  from keyed r join full_records f on r.url_key = f.url_key and (f.ts < r.ts or (f.ts = r.ts and f.record_id < r.record_id))
+  where r.status = 304 group by r.record_id
+), told as (
+  select r.*, f.record_id as source_id, f.digest as f_digest, f.body_bytes as f_bytes,
+    case when r.status between 200 and 299 then 'response' when r.status <> 304 then 'other' when f.record_id is null then 'orphan'
+      when coalesce(replace(r.etag, 'W/', '') = replace(f.etag, 'W/', ''), r.last_modified = f.last_modified) is null then 'unvalidated'
+      when coalesce(replace(r.etag, 'W/', '') = replace(f.etag, 'W/', ''), r.last_modified = f.last_modified) then 'resolved' else 'mismatch' end as outcome
+  from keyed r left join latest l on r.record_id = l.record_id left join keyed f on f.record_id = l.source
+), lines as (
+  select record_id, p.i, lower(trim(split_part(p.line, ':', 1))) as name, trim(substr(p.line, strpos(p.line, ':') + 1)) as value
+  from (select record_id, unnest(list_zip(range(1, 20), string_split(headers, chr(10))), recursive := false) as z from keyed) q,
+    lateral (select z[1] as i, z[2] as line) p where p.line is not null
+), updates as (
+  select t.record_id, l.i + 100 as i, l.name, l.value from told t join lines l on l.record_id = t.record_id
+  where t.outcome = 'resolved' and l.name not in ('content-length', 'content-type')
+), final_lines as (
+  select * from updates
+  union all
+  select t.record_id, l.i, l.name, l.value from told t join lines l on l.record_id = t.source_id
+  where t.outcome = 'resolved' and not exists (select 1 from updates u where u.record_id = t.record_id and u.name = l.name)
+  union all
+  select t.record_id, l.i, l.name, l.value from told t join lines l on l.record_id = t.record_id where t.outcome <> 'resolved'
+), named as (select record_id, name, string_agg(value, ', ' order by i) as value from final_lines group by all
+), texts as (select record_id, string_agg(name || ': ' || value, chr(10) order by name) as headers from named group by all
+)
+select t.record_id, t.url_key, t.ts, t.outcome, t.source_id,
+  case when t.outcome = 'resolved' then t.f_digest when t.outcome = 'response' then t.digest end as digest,
+  case when t.outcome = 'resolved' then t.f_bytes when t.outcome = 'response' then t.body_bytes end as body_bytes,
+  x.headers
+from told t left join texts x on x.record_id = t.record_id
+"""
+)
+
+
 @query
 def op6_langid_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -53,6 +126,59 @@ def op6_langid_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid_ftrl.predicted(documents.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn as a reply by mail: it quotes the first line of the turn before it, and of that one's own quote, or
+    now and then the turn before that."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    first = turns.select("conv_id", F.col("turn").alias("at"), F.split("text", "\n")[0].alias("line")).groupBy("conv_id", "at").agg(F.min("line").alias("line"))
+    one, two = (first.select("conv_id", (F.col("at") + n).alias("turn"), F.col("line").alias(f"line{n}")) for n in (1, 2))
+    joined = turns.join(one, ["conv_id", "turn"], "left").join(two, ["conv_id", "turn"], "left")
+    near = F.concat_ws("\n", F.concat(F.lit("> > "), "line2"), F.concat(F.lit("> "), "line1"), "text")
+    far = F.concat_ws("\n", F.concat(F.lit("> "), "line2"), "text")
+    return joined.select("conv_id", "turn", "role", F.when(F.col("turn") % 3 == 2, far).otherwise(near).alias("text"))
+
+
+@query
+def op7_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.linked(mail(spark, sf_dir))
+
+
+ORACLES["op7_quotation_linking"] = r"""
+with recursive firsts as (
+  select conv_id, turn, min(string_split(text, chr(10))[1]) as line from conversations group by all
+), mail as (
+  select c.conv_id, c.turn, c.role, case when c.turn % 3 = 2 then concat_ws(chr(10), '> ' || b.line, c.text)
+    else concat_ws(chr(10), '> > ' || b.line, '> ' || a.line, c.text) end as text
+  from conversations c left join firsts a on a.conv_id = c.conv_id and a.turn = c.turn - 1
+    left join firsts b on b.conv_id = c.conv_id and b.turn = c.turn - 2
+), lines as (
+  select conv_id, turn, role, i, line, length(regexp_replace(regexp_extract(line, '^(( ?>)+) ?', 1), '[^>]', '', 'g')) as level,
+    lower(trim(regexp_replace(regexp_replace(line, '^(( ?>)+) ?', ''), '[ 	]+', ' ', 'g'))) as said
+  from (select conv_id, turn, role, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from mail)
+), own as (select distinct conv_id, turn, said from lines where level = 0 and said <> ''
+), found as (
+  select q.conv_id, q.turn, q.level, q.i, max(o.turn) as parent
+  from lines q join own o on o.conv_id = q.conv_id and o.said = q.said and o.turn < q.turn
+  where q.level > 0 and q.said <> '' group by all
+), votes as (select conv_id, turn, level, parent, count(*) as n from found group by all
+), chosen as (
+  select conv_id, turn, parent from votes
+  qualify row_number() over (partition by conv_id, turn order by level, n desc, parent desc) = 1
+), tree as (
+  select m.conv_id, m.turn, m.role, c.parent from mail m left join chosen c on c.conv_id = m.conv_id and c.turn = m.turn
+), reach as (
+  select conv_id, turn, turn as root, 0 as depth from tree where parent is null
+  union all
+  select t.conv_id, t.turn, r.root, r.depth + 1 from tree t join reach r on r.conv_id = t.conv_id and r.turn = t.parent
+), bodies as (
+  select conv_id, turn, string_agg(line, chr(10) order by i) filter (level = 0) as body from lines group by all
+)
+select t.conv_id, row_number() over (partition by t.conv_id order by r.root, t.turn) - 1 as place, t.turn, t.role,
+  t.parent as parent_turn, r.root as root_turn, cast(r.depth as int) as depth, b.body
+from tree t join reach r on r.conv_id = t.conv_id and r.turn = t.turn join bodies b on b.conv_id = t.conv_id and b.turn = t.turn
+"""
+
+
 @query
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair.mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
