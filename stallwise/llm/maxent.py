@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from stallwise.llm.common import text_bytes
 from stallwise.session import durable
 
-LAST, SKIP, BOTH = 256, 64, 2048  # hash values of the three kinds of features; the first of LAST and SKIP is the start
-FEATURED, HEAD_CLASSES, TAIL_CLASSES = 1024, 32, 16
+LAST, SKIP, BOTH = 256, 64, 512  # hash values of the three kinds of features; the first of LAST and SKIP is the start
+FEATURED, HEAD_CLASSES, TAIL_CLASSES = 512, 16, 16
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 PER_CLASS = FEATURED // HEAD_CLASSES
 SHARE = 1 << 20
@@ -206,6 +206,12 @@ class Weights:
         self.parts[4][:] = -30.0  # ranks that the vocabulary does not fill
         self.parts[4][: known.featured] = np.log(known.counts[: known.featured])
 
+    def light(self) -> "Weights":
+        """A copy of half the size for the tasks: under a megabyte, so it travels with them and leaves no files behind."""
+        copy = object.__new__(Weights)
+        copy.parts = [p.astype(np.float32) for p in self.parts]
+        return copy
+
     def class_logits(self, last: int) -> np.ndarray:
         bias, by_last, by_skip, by_both = self.parts[:4]
         return bias + by_last[last] + by_skip + by_both[both(last)]
@@ -228,6 +234,7 @@ def log_sum(x: np.ndarray) -> np.ndarray:
 
 def gradient(blocks: DataFrame, weights: Weights) -> tuple[list[np.ndarray], float]:
     """Expected minus observed counts by feature, and minus the log-likelihood; each task returns one sum."""
+    weights = weights.light()
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, loss = [np.zeros(p.shape) for p in weights.parts], 0.0
