@@ -63,11 +63,11 @@ def parents(messages: DataFrame) -> DataFrame:
     """message, parent of every message whose quotes lead to an earlier one."""
     lines = quoted_lines(messages).groupBy("conv", "message", "level", "hash").agg(F.count("*").alias("times"))
     keyed = lines.withColumn("key", F.md5(F.concat_ws("/", F.coalesce(F.col("conv").cast("string"), F.lit("none")), "hash").cast("binary")))
-    linked = latest_earlier(keyed.select("key", "message", "level", "times"), "key", ["message", "level"], F.col("level") == 0, ["message"], "source")
-    # own lines sort before quotes of the same message, but a message does not quote itself
-    found = linked.where((F.col("level") > 0) & F.col("source").isNotNull()).withColumn("parent", F.col("source")["message"])
-    earlier = found.where(F.col("parent") < F.col("message"))
-    votes = earlier.groupBy("message", "level", "parent").agg(F.sum("times").alias("votes"))
+    # own lines come after the quotes of their message: a message does not quote itself
+    rows = keyed.select("key", "message", "level", "times", (F.col("level") == 0).alias("own"))
+    looked_up = latest_earlier(rows, "key", ["message", "own", "level"], F.col("own"), ["message"], "source")
+    found = looked_up.where(~F.col("own") & F.col("source").isNotNull()).withColumn("parent", F.col("source")["message"])
+    votes = found.groupBy("message", "level", "parent").agg(F.sum("times").alias("votes"))
     return votes.groupBy("message").agg(F.max_by("parent", F.struct(-F.col("level"), "votes", "parent")).alias("parent"))
 
 
