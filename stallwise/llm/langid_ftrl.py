@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructType
 
 from stallwise.llm.common import text_bytes
 from stallwise.session import durable
@@ -252,27 +253,24 @@ def predicted(documents: DataFrame, model: Model) -> DataFrame:
     """The documents with lang_pred and score added (columns of that name are replaced)."""
     rule = model.rule()
     carried = documents.drop("lang_pred", "score")
+    at = carried.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [rule(text) for text in text_bytes(batch.column("_text"))]
-            rest = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score"])
-
-    from pyspark.sql.types import DoubleType, StringType, StructType
+            found = [rule(text) for text in text_bytes(batch.column(at))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
     schema = StructType([*carried.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType())
-    return carried.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, schema)
+    return carried.mapInArrow(run, schema)
 
 
 def told(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The documents with a letter whose predicted language has a probability of at least ``least``, all columns."""
-    rule = model.rule()
+    rule, at = model.rule(), documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [rule(text) for text in text_bytes(batch.column("_text"))]
-            keep = pa.array([language != UNKNOWN and score >= least for language, score in found], pa.bool_())
-            yield batch.select(batch.schema.names[:-1]).filter(keep)
+            found = [rule(text) for text in text_bytes(batch.column(at))]
+            yield batch.filter(pa.array([language != UNKNOWN and score >= least for language, score in found], pa.bool_()))
 
-    return documents.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, documents.schema)
+    return documents.mapInArrow(run, documents.schema)

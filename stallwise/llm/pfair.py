@@ -23,7 +23,7 @@ from __future__ import annotations
 import heapq
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallwise.llm.common import gapless
@@ -105,7 +105,6 @@ def mixed(documents: DataFrame, weights: dict[str | None, int] | None = None, pa
     ``weights``: whole parts per source, few in number. None: parts in the ratio of the square roots of the sizes.
     """
     spark = documents.sparkSession
-    documents = documents.drop(*ADDED)
     sizes = [(r["source"], r["n"]) for r in documents.groupBy("source").agg(F.count("*").alias("n")).collect()]  # one row per source
     sizes.sort(key=lambda x: (x[0] is None, str(x[0])))
     counts = [n for _, n in sizes]
@@ -113,27 +112,30 @@ def mixed(documents: DataFrame, weights: dict[str | None, int] | None = None, pa
     blocks = [-(-n // block_docs) for n in counts]
     phases, slots = schedule(blocks, shares)
     kind = dict(documents.dtypes)["source"]
-    numbers = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(sizes)], f"_s int, _source {kind}")
-    spans = spark.createDataFrame(phases, "phase int, _s int, _first long, _count long, _start long, _total long, _times long, _own long")
-    places = spark.createDataFrame(slots, "phase int, _s int, _i long, _place long, _last long, _release long, _deadline long")
-    tie: list[Column] = [F.col("doc_id"), *([F.xxhash64("text")] if "text" in documents.columns else [])]
-    numbered = gapless(documents, "source", tie, "_n", few_groups=True)
+    numbers = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(sizes)], f"s int, name {kind}")
+    spans = spark.createDataFrame(phases, "phase int, s int, first long, held long, start long, total long, times long, own long")
+    places = spark.createDataFrame(slots, "phase int, s int, i long, place long, last long, release long, deadline long")
+    # the document is packed, so its columns cannot clash with those of the computation
+    rest = [c for c in documents.columns if c not in ADDED]
+    tie = F.xxhash64("text") if "text" in documents.columns else F.lit(0)
+    packed = documents.select(F.struct(*rest).alias("document"), F.col("source"), F.col("doc_id"), tie.alias("tie"))
+    numbered = gapless(packed, "source", [F.col("doc_id"), F.col("tie")], "n", few_groups=True)
     # at most one row per source, per source and phase, and per slot and phase
     joined = (
-        numbered.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("block", F.floor(F.col("_n") / block_docs))
-        .join(F.broadcast(spans), "_s").where((F.col("block") >= F.col("_first")) & (F.col("block") < F.col("_first") + F.col("_count")))
-        .withColumn("_round", F.floor((F.col("block") - F.col("_first")) / F.col("_own")))
-        .withColumn("_i", (F.col("block") - F.col("_first")) % F.col("_own"))
-        .join(F.broadcast(places), ["phase", "_s", "_i"])
+        numbered.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("name")))
+        .withColumn("block", F.floor(F.col("n") / block_docs))
+        .join(F.broadcast(spans), "s").where((F.col("block") >= F.col("first")) & (F.col("block") < F.col("first") + F.col("held")))
+        .withColumn("round", F.floor((F.col("block") - F.col("first")) / F.col("own")))
+        .withColumn("i", (F.col("block") - F.col("first")) % F.col("own"))
+        .join(F.broadcast(places), ["phase", "s", "i"])
     )
-    whole = F.when(F.col("_round") == F.col("_times") - 1, F.col("_last")).otherwise(F.col("_place"))
-    offset = F.col("_round") * F.col("_total")
-    slotted = joined.withColumns({"slot": F.col("_start") + offset + whole, "release": offset + F.col("_release"), "deadline": offset + F.col("_deadline")})
-    position = F.col("slot") * block_docs + F.col("_n") % block_docs
+    whole = F.when(F.col("round") == F.col("times") - 1, F.col("last")).otherwise(F.col("place"))
+    offset = F.col("round") * F.col("total")
+    slotted = joined.withColumns({"slot": F.col("start") + offset + whole, "release": offset + F.col("release"), "deadline": offset + F.col("deadline")})
+    position = F.col("slot") * block_docs + F.col("n") % block_docs
     for slot, short in short_blocks(counts, phases, slots, block_docs):  # one per source at most
         position = position - F.when(F.col("slot") > slot, F.lit(short)).otherwise(F.lit(0))
-    return slotted.withColumn("position", position).select(*documents.columns, *ADDED)
+    return slotted.withColumn("position", position).select("document.*", *ADDED)
 
 
 def short_blocks(counts: list[int], phases: list[tuple], slots: list[tuple], block_docs: int) -> list[tuple[int, int]]:
@@ -151,5 +153,6 @@ def short_blocks(counts: list[int], phases: list[tuple], slots: list[tuple], blo
 
 def in_order(documents: DataFrame, **settings) -> DataFrame:
     """The documents, all columns, sorted into the mixed order (files in order, rows in order within them)."""
-    placed = mixed(documents, **settings)
-    return placed.repartitionByRange("position").sortWithinPartitions("position").select(*documents.columns)
+    packed = documents.select(F.struct("*").alias("whole"), "doc_id", "source", F.xxhash64("text").alias("text"))
+    placed = mixed(packed, **settings)
+    return placed.repartitionByRange("position").sortWithinPartitions("position").select("whole.*")
