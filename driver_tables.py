@@ -43,7 +43,7 @@ select l_orderkey as order_id,
   case l_returnflag when 'A' then ' Credit_Card' when 'N' then 'BOLETO ' else 'voucher' end as payment_type,
   cast(l_quantity as int) % 10 + 1 as payment_installments,
   l_extendedprice as payment_value
-from lineitem where l_orderkey % 97 <> 0
+from lineitem
 """,
     "raw_order_reviews": """
 select o_orderkey * 2 as review_id, o_orderkey as order_id,
@@ -51,20 +51,20 @@ select o_orderkey * 2 as review_id, o_orderkey as order_id,
   cast(null as varchar(10)) as review_comment_title, o_orderpriority as review_comment_message,
   o_orderdate + interval '31' day as review_creation_date,
   o_orderdate + interval '33' day as review_answer_timestamp
-from orders where o_orderkey % 10 <> 0
+from orders
 union all
 select o_orderkey * 2 + 1, o_orderkey, 1 + cast(o_custkey % 5 as int), 'again', null,
   o_orderdate + (29 + o_orderkey % 4) * interval '1' day, o_orderdate + interval '40' day
 from orders where o_orderkey % 7 = 0
 """,
     "raw_customers": """
-select c_custkey as customer_id, c_custkey % 1000 as customer_unique_id,
-  lpad(cast(c_custkey % 60 as varchar(5)), 5, '0') as customer_zip_code_prefix,
+select c_custkey as customer_id, cast(floor(c_custkey / 3.0) as bigint) as customer_unique_id,
+  lpad(cast(cast(floor(c_custkey / 50.0) as bigint) as varchar(12)), 8, '0') as customer_zip_code_prefix,
   concat(' ', n_name, ' ') as customer_city, lower(substring(r_name, 1, 2)) as customer_state
 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
 """,
     "raw_sellers": """
-select s_suppkey as seller_id, lpad(cast(s_suppkey % 60 as varchar(5)), 5, '0') as seller_zip_code_prefix,
+select s_suppkey as seller_id, lpad(cast(cast(floor(s_suppkey / 50.0) as bigint) as varchar(12)), 8, '0') as seller_zip_code_prefix,
   concat(' ', n_name, ' ') as seller_city, lower(substring(r_name, 1, 2)) as seller_state
 from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
 """,
@@ -79,7 +79,7 @@ select p_partkey as product_id,
 from part
 """,
     "raw_geolocation": """
-select lpad(cast(c_custkey % 60 as varchar(5)), 5, '0') as geolocation_zip_code_prefix,
+select lpad(cast(cast(floor(c_custkey / 50.0) as bigint) as varchar(12)), 8, '0') as geolocation_zip_code_prefix,
   c_acctbal / 1000 as geolocation_lat, c_nationkey * 1.5 as geolocation_lng,
   concat(' ', c_mktsegment) as geolocation_city, lower(substring(r_name, 1, 2)) as geolocation_state
 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey

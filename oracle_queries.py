@@ -18,7 +18,70 @@ from query_registry import (
     VERSION,
 )
 from stallwise import contract
-from stallwise.plans import features, marts, quality
+
+# The schemas and constraints that the results must have, stated here on their own.
+ENRICHED_COLUMNS = ['order_id', 'customer_id', 'order_purchased_at', 'order_approved_at', 'order_delivered_carrier_at',
+ 'order_delivered_customer_at', 'order_estimated_delivery_at', 'order_status', 'normalized_status', 'is_delivered',
+ 'is_canceled', 'total_payment_value', 'payment_installments_max', 'payment_method_count', 'payment_type_list',
+ 'payment_count', 'review_score', 'review_comment_title', 'review_comment_message', 'delivery_days',
+ 'estimated_delivery_days', 'delay_days', 'is_delayed']
+FACT_COLUMNS = ['order_id', 'customer_key', 'order_date', 'delivery_date', 'estimated_delivery_date', 'item_count',
+ 'total_freight_value', 'product_category', 'seller_id', 'total_payment_value', 'delivery_days', 'delay_days',
+ 'is_delayed', 'review_score']
+FEATURE_COLUMNS = ['order_id', 'order_purchase_timestamp', 'order_day_of_week', 'order_hour', 'order_month', 'total_payment_value',
+ 'payment_installments', 'payment_type_count', 'product_weight_g', 'product_volume_cm3', 'product_category',
+ 'customer_state', 'seller_state', 'customer_seller_same_state', 'seller_avg_delivery_days_historical',
+ 'freight_value', 'freight_ratio', 'estimated_delivery_days', 'seller_id', 'is_delayed']
+LEAK_REASONS = {'label_unexpected': 'is_delayed present but order not eligible for delay label',
+ 'label_absent': 'is_delayed null but order eligible for delay label',
+ 'history_early': 'first seller order must have null historical avg'}
+NOT_NULL = {'stg_orders': ['order_id', 'customer_id', 'order_status', 'order_purchased_at'],
+ 'stg_order_items': ['order_id', 'item_sequence', 'product_id', 'seller_id', 'price', 'freight_value'],
+ 'stg_order_payments': ['order_id', 'payment_sequence', 'payment_type', 'payment_installments', 'payment_value'],
+ 'stg_order_reviews': ['review_id', 'order_id', 'review_score'],
+ 'stg_customers': ['customer_id', 'customer_unique_id', 'customer_zip_code_prefix', 'customer_city',
+                   'customer_state'],
+ 'stg_sellers': ['seller_id', 'seller_zip_code_prefix', 'seller_city', 'seller_state'],
+ 'stg_products': ['product_id', 'product_category_name'],
+ 'stg_geolocation': ['zip_code_prefix', 'latitude', 'longitude', 'city', 'state'],
+ 'payments_aggregated': ['order_id', 'total_payment_value', 'payment_installments_max', 'payment_method_count',
+                         'payment_type_list', 'payment_count'],
+ 'order_status_normalized': ['order_id', 'raw_status', 'normalized_status', 'is_delivered', 'is_canceled'],
+ 'int_orders_enriched': ['order_id', 'customer_id', 'order_purchased_at', 'order_status', 'normalized_status',
+                         'is_delivered', 'is_canceled'],
+ 'dim_customers': ['customer_key', 'customer_unique_id'],
+ 'dim_sellers': ['seller_key', 'seller_id'],
+ 'dim_products': ['product_key', 'product_id'],
+ 'fact_orders': ['order_id', 'customer_key'],
+ 'fact_order_items': ['order_id', 'order_item_id', 'product_id', 'seller_id', 'product_key', 'seller_key'],
+ 'met_daily_gmv': ['order_date', 'gmv'],
+ 'met_daily_revenue': ['order_date', 'revenue'],
+ 'met_daily_delay_rate': ['order_date', 'delay_rate', 'delivered_eligible_orders', 'delayed_orders'],
+ 'order_features': ['order_id', 'order_purchase_timestamp'],
+ 'fct_predictions': ['order_id', 'predicted_probability', 'predicted_class', 'model_version',
+                     'prediction_timestamp']}
+UNIQUE = [('stg_orders', ['order_id']), ('stg_customers', ['customer_id']), ('stg_sellers', ['seller_id']),
+ ('stg_products', ['product_id']), ('stg_geolocation', ['zip_code_prefix']), ('payments_aggregated', ['order_id']),
+ ('order_status_normalized', ['order_id']), ('int_orders_enriched', ['order_id']),
+ ('dim_customers', ['customer_key']), ('dim_customers', ['customer_unique_id']), ('dim_sellers', ['seller_key']),
+ ('dim_sellers', ['seller_id']), ('dim_products', ['product_key']), ('dim_products', ['product_id']),
+ ('fact_orders', ['order_id']), ('met_daily_gmv', ['order_date']), ('met_daily_revenue', ['order_date']),
+ ('met_daily_delay_rate', ['order_date']), ('order_features', ['order_id']), ('fct_predictions', ['order_id']),
+ ('stg_order_items', ['order_id', 'item_sequence']), ('stg_order_payments', ['order_id', 'payment_sequence']),
+ ('fact_order_items', ['order_id', 'order_item_id'])]
+ACCEPTED = [('stg_orders', 'order_status',
+  ['delivered', 'shipped', 'invoiced', 'processing', 'canceled', 'unavailable', 'created', 'approved']),
+ ('stg_order_payments', 'payment_type', ['credit_card', 'boleto', 'voucher', 'debit_card', 'not_defined']),
+ ('stg_order_reviews', 'review_score', [1, 2, 3, 4, 5]),
+ ('order_status_normalized', 'normalized_status', ['placed', 'in_transit', 'delivered', 'canceled', 'other']),
+ ('order_status_normalized', 'is_delivered', [0, 1]), ('order_status_normalized', 'is_canceled', [0, 1]),
+ ('fct_predictions', 'predicted_class', [0, 1])]
+RELATIONSHIPS = [('stg_order_items', 'order_id', 'stg_orders', 'order_id'),
+ ('fact_orders', 'customer_key', 'dim_customers', 'customer_key'),
+ ('fact_order_items', 'product_id', 'dim_products', 'product_id'),
+ ('fact_order_items', 'seller_id', 'dim_sellers', 'seller_id'),
+ ('fact_order_items', 'product_key', 'dim_products', 'product_key'),
+ ('fact_order_items', 'seller_key', 'dim_sellers', 'seller_key')]
 
 NUMERIC, CATEGORICAL = contract.NUMERIC_FEATURES, contract.CATEGORICAL_FEATURES
 
@@ -27,8 +90,9 @@ def quoted(values) -> str:
     return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
 
 
-def cents(expression: str) -> str:
-    return f"cast(sum(cast({expression} as decimal(18,2))) as double)"
+def amount(expression: str) -> str:
+    """Sum of money: every addend by its shortest decimal text, so nothing is rounded on the way."""
+    return f"cast(cast(sum(cast(cast({expression} as varchar) as decimal(38,12))) as varchar) as double)"
 
 
 def ratio(top: str, bottom: str) -> str:
@@ -191,7 +255,7 @@ MODELS = {
         from raw_geolocation g join g_city on g_city.zip = g.geolocation_zip_code_prefix
         join g_state on g_state.zip = g.geolocation_zip_code_prefix group by 1""",
     # ---- intermediate results
-    "o_payments": f"""select order_id, {cents('payment_value')} as total_payment_value,
+    "o_payments": f"""select order_id, {amount('payment_value')} as total_payment_value,
         max(payment_installments) as payment_installments_max, count(distinct payment_type) as payment_method_count,
         string_agg(distinct payment_type, ', ' order by payment_type) as payment_type_list,
         count(*) as payment_count from s_payments group by order_id""",
@@ -210,11 +274,11 @@ MODELS = {
         from s_orders""",
     "o_review": """select * from s_reviews
         qualify row_number() over (partition by order_id order by review_created_at desc nulls last, review_id) = 1""",
-    "o_enriched": f"""select {', '.join(marts.ENRICHED_COLUMNS)}
+    "o_enriched": f"""select {', '.join(ENRICHED_COLUMNS)}
         from o_delays left join o_payments using (order_id)
         left join (select order_id, review_score, review_comment_title, review_comment_message from o_review) r
           using (order_id)""",
-    "i_rollup": f"""select order_id, count(*) as item_count, {cents('freight_value')} as total_freight_value
+    "i_rollup": f"""select order_id, count(*) as item_count, {amount('freight_value')} as total_freight_value
         from s_items group by order_id""",
     "p_category": f"""select product_id,
         case when trim(product_category_name) = '' then '{contract.NO_CATEGORY}' else trim(product_category_name) end
@@ -240,14 +304,14 @@ MODELS = {
         i.seller_id, i.product_id, i.product_category
         from o_enriched e join s_customers c using (customer_id) join d_customers d using (customer_unique_id)
         left join i_rollup using (order_id) left join i_primary i using (order_id)""",
-    "f_orders": f"select {', '.join(marts.FACT_COLUMNS)} from f_core",
+    "f_orders": f"select {', '.join(FACT_COLUMNS)} from f_core",
     # ---- metrics
     "v_valid": f"""select * from f_core where order_status in ({quoted(contract.VALID_STATUSES)}) and item_count > 0
         and order_date is not null""",
     "v_eligible": """select * from f_core where order_status = 'delivered' and is_delayed is not null
         and delivery_date is not null and estimated_delivery_date is not null and order_date is not null""",
-    "m_gmv": f"select order_date, {cents('coalesce(total_payment_value, 0)')} as gmv from v_valid group by 1",
-    "m_revenue": f"""select order_date, {cents('coalesce(total_payment_value, 0)')} as revenue from v_valid
+    "m_gmv": f"select order_date, {amount('coalesce(total_payment_value, 0)')} as gmv from v_valid group by 1",
+    "m_revenue": f"""select order_date, {amount('coalesce(total_payment_value, 0)')} as revenue from v_valid
         where order_status = 'delivered' group by 1""",
     "m_delay": """select order_date, avg(cast(is_delayed as double)) as delay_rate,
         count(*) as delivered_eligible_orders, count(*) filter (where is_delayed = 1) as delayed_orders
@@ -270,10 +334,10 @@ MODELS = {
         from f_core f join x_history h on h.order_id = f.order_id
         left join d_sellers s on s.seller_id = f.seller_id left join d_products p on p.product_id = f.product_id""",
     "x_labelled": f"select *, {split_of('order_purchase_timestamp')} as split from x_features where is_delayed is not null",
-    "x_train": f"select {', '.join(features.FEATURE_COLUMNS)} from x_labelled where split = 'train'",
-    "x_test": f"select * from x_features where order_purchase_timestamp >= timestamp '{TEST_START}'",
+    "x_train": f"select {', '.join(FEATURE_COLUMNS)} from x_labelled where split = 'train'",
+    "x_current": "select * from x_features",
     "x_shifted": """select * replace (total_payment_value * 1.5e0 as total_payment_value,
-        case when order_id % 4 = 0 then 'special' else product_category end as product_category) from x_test""",
+        case when order_id % 4 = 0 then 'special' else product_category end as product_category) from x_current""",
     # ---- scores
     "z_scores": f"""select *, cast(p_champion >= {contract.CLASS_THRESHOLD} as int) as predicted_class,
         cast(p_challenger >= {contract.CLASS_THRESHOLD} as int) as challenger_class, strftime(order_date, '%Y-%m') as period,
@@ -307,7 +371,7 @@ MODELS = {
         fn * {contract.FALSE_NEGATIVE_COST}e0 as estimated_cost_false_negatives,
         fp * {contract.FALSE_POSITIVE_COST}e0 + fn * {contract.FALSE_NEGATIVE_COST}e0 as estimated_total_cost,
         {contract.FALSE_NEGATIVE_COST}e0 / {contract.FALSE_POSITIVE_COST}e0 as cost_ratio_fn_to_fp from q_cm_all""",
-    **drift_models("test", "x_test"),
+    **drift_models("test", "x_current"),
     **drift_models("shift", "x_shifted"),
     # ---- retraining
     "r_runs": """select coalesce(max(length), 0) as longest_run from (
@@ -464,7 +528,7 @@ ANSWERS = {
     "assert_not_null": "select * from ("
     + " union all ".join(
         f"select '{c}' as column_name, count(*) filter (where {c} is null) as n_records from o_enriched"
-        for c in marts.ENRICHED_COLUMNS
+        for c in ENRICHED_COLUMNS
     )
     + ") t where n_records > 0",
     "assert_accepted_values": f"""select order_status, count(*) as n_records from s_orders
@@ -479,14 +543,14 @@ ANSWERS = {
         from (select order_id, nullif(p_champion * 1.25e0, 0) as p from z_scores) t
         where p is null or p not between 0 and 1""",
     "metric_reconcile_gmv": f"""select m.t as metric_total, f.t as fact_total
-        from (select round({cents('gmv + 1')}, 6) as t from m_gmv) m,
-        (select round({cents('coalesce(total_payment_value, 0)')}, 6) as t from v_valid) f where m.t <> f.t""",
+        from (select round({amount('gmv + 1')}, 6) as t from m_gmv) m,
+        (select round({amount('coalesce(total_payment_value, 0)')}, 6) as t from v_valid) f where m.t <> f.t""",
     "metric_reconcile_revenue": f"""select m.t as metric_total, f.t as fact_total
-        from (select round({cents('gmv')}, 6) as t from m_gmv) m,
-        (select round({cents('coalesce(total_payment_value, 0)')}, 6) as t from v_valid
+        from (select round({amount('gmv')}, 6) as t from m_gmv) m,
+        (select round({amount('coalesce(total_payment_value, 0)')}, 6) as t from v_valid
           where order_status = 'delivered') f where m.t <> f.t""",
-    "leakage_check": f"""select order_id, case when label is null then '{features.LEAK_REASONS['label_absent']}'
-          else '{features.LEAK_REASONS['label_unexpected']}' end as violation
+    "leakage_check": f"""select order_id, case when label is null then '{LEAK_REASONS['label_absent']}'
+          else '{LEAK_REASONS['label_unexpected']}' end as violation
         from (select o.order_id, case when extract(hour from o.order_purchased_at) = 3 then null
               when extract(hour from o.order_purchased_at) = 5 then 1 else f.is_delayed end as label,
             o.is_delivered = 1 and o.order_delivered_customer_at is not null
@@ -494,7 +558,7 @@ ANSWERS = {
           from o_delays o join f_core f on f.order_id = o.order_id) t
         where (label is not null) <> eligible
         union all
-        select order_id, '{features.LEAK_REASONS['history_early']}' from (select order_id, row_number() over (
+        select order_id, '{LEAK_REASONS['history_early']}' from (select order_id, row_number() over (
           partition by seller_id order by order_purchased_at, order_id) as place from f_core
           where seller_id is not null) u where place = 1""",
     # ---- model quality
@@ -591,18 +655,18 @@ def quality_answer() -> str:
     def violations(table: str, condition: str) -> str:
         return f"select count(*) from {DATASETS[table]} t where {condition}"
 
-    for table, columns in quality.NOT_NULL.items():
+    for table, columns in NOT_NULL.items():
         for c in columns:
             add("not_null", table, c, violations(table, f"{c} is null"))
-    for table, c, values in quality.ACCEPTED:
+    for table, c, values in ACCEPTED:
         add("accepted_values", table, c, violations(table, f"{c} not in ({quoted(values)})"))
-    for table, columns in quality.UNIQUE:
+    for table, columns in UNIQUE:
         listed = ", ".join(columns)
         add(
             "unique" if len(columns) == 1 else "unique_combination", table, ",".join(columns),
             f"select count(*) from (select {listed} from {DATASETS[table]} t group by {listed} having count(*) > 1) u",
         )
-    for table, c, parent, pc in quality.RELATIONSHIPS:
+    for table, c, parent, pc in RELATIONSHIPS:
         add(
             "relationships", table, c,
             f"select count(distinct {c}) from {DATASETS[table]} t where {c} not in (select {pc} from {DATASETS[parent]} p)",
@@ -624,8 +688,8 @@ def quality_answer() -> str:
     ):
         add(
             "total_matches_fact", table, column,
-            f"select case when (select {cents(column)} from {DATASETS[table]}) = "
-            f"(select {cents('coalesce(total_payment_value, 0)')} from {rows_of}) then 0 else 1 end",
+            f"select case when (select {amount(column)} from {DATASETS[table]}) = "
+            f"(select {amount('coalesce(total_payment_value, 0)')} from {rows_of}) then 0 else 1 end",
         )
     add(
         "no_leakage", "order_features", "order_id",

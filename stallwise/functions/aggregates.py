@@ -6,14 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def sum_cents(amount: Column) -> Column:
-    """Exact sum of a money column that holds whole cents.
+def sum_amount(amount: Column) -> Column:
+    """Sum of a money column, independent of row order and of the number of partitions.
 
-    Adding cents as integers makes the total independent of row order and of the number of
-    partitions, and keeps the aggregation buffer a plain long. Amounts finer than a cent are outside
-    this function's contract.
+    Every addend counts by its decimal text, exact to twelve digits after the point and up to 10^26; only the
+    total becomes a double again.
     """
-    return F.sum(F.rint(amount * F.lit(100.0)).cast("bigint")).cast("double") / F.lit(100.0)
+    return F.sum(amount.cast("decimal(38,12)")).cast("double")
 
 
 def count_where(predicate: Column) -> Column:

@@ -105,7 +105,8 @@ def calendar_months(start: Column, end: Column) -> Column:
 
 
 def predicted_class(probability: Column, threshold: float = contract.CLASS_THRESHOLD) -> Column:
-    return flag(probability >= F.lit(threshold))
+    """0/1 by threshold; a missing probability, null or NaN, has no class."""
+    return F.when(defined(probability), flag(probability >= F.lit(threshold)))
 
 
 def band(score: Column, warning: float, alert: float) -> Column:

@@ -74,26 +74,29 @@ def quality_report(
 
     AUC is the share of (late, on-time) pairs ranked the right way, ties counting half: per score,
     late rows times twice the on-time rows below plus the tied ones. The pair counts are exact decimals.
-    It is null when a group has one class only. No group: one row, also for empty input.
+    It is null when a group has one class only or a missing score, null or NaN. All rows count in n_rows; rows
+    without label or class are in none of the four counts. No group: one row, also for empty input.
     """
     group = group or []
-    per_score = scored.groupBy(*group, F.col(score).alias("_score")).agg(*cell_counts(label, predicted))
-    per_score = per_score.withColumn("_late", F.col("tp") + F.col("fn")).withColumn(
-        "_on_time", F.col("fp") + F.col("tn")
+    known = F.when(fn.defined(F.col(score)), F.col(score))
+    per_score = scored.groupBy(*group, known.alias("_score")).agg(
+        *cell_counts(label, predicted),
+        F.count("*").alias("_n"),
+        ag.count_where(F.col(label) == 1).alias("_late"),
+        ag.count_where(F.col(label) == 0).alias("_on_time"),
     )
     ranked = running_sums(per_score, group, [F.col("_score").asc_nulls_last()], {"_below": F.col("_on_time")})
     pairs = F.col("_late").cast("decimal(19,0)") * (F.col("_below") * 2 + F.col("_on_time")).cast("decimal(19,0)")
     combined = ranked.groupBy(*group).agg(
         F.sum(pairs.cast("decimal(38,0)")).alias("_pairs"),
-        F.coalesce(F.sum("_late"), F.lit(0)).alias("_late"),
-        F.coalesce(F.sum("_on_time"), F.lit(0)).alias("_on_time"),
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in CELLS],
+        F.coalesce(F.sum(F.when(F.col("_score").isNull(), F.col("_n"))), F.lit(0)).alias("_missing"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_n", "_late", "_on_time", *CELLS)],
     )
     all_pairs = F.lit(2.0) * F.col("_late") * F.col("_on_time")
     return combined.select(
         *group,
-        (F.col("_late") + F.col("_on_time")).alias("n_rows"),
-        fn.safe_divide(F.col("_pairs"), all_pairs).alias("roc_auc"),
+        F.col("_n").alias("n_rows"),
+        F.when(F.col("_missing") == 0, fn.safe_divide(F.col("_pairs"), all_pairs)).alias("roc_auc"),
         *rates(),
         *CELLS,
     )
@@ -116,15 +119,19 @@ def precision_at_top(
     """Share of late rows among the k highest scores, k = max(1, ceil(fraction * n)); 0 for no rows.
 
     Rows above the cut score all count. Of those tied at the cut, the ones with the lowest keys fill the
-    remaining places; the tied rows are ranked by range slices, so they may be any share of the data.
+    remaining places; the tied rows are ranked by range slices, so they may be any share of the data. Undefined
+    (null) when a score is missing, null or NaN.
     """
+    scored = scored.withColumn(score, F.when(fn.defined(F.col(score)), F.col(score)))
     per_score = scored.groupBy(F.col(score).alias("_score")).agg(
         F.count("*").alias("_n"), F.sum(F.col(label).cast("bigint")).alias("_late")
     )
     ranked = running_sums(
         per_score, [], [F.col("_score").desc_nulls_last()], {"_n_above": F.col("_n"), "_late_above": F.col("_late")}
     )
-    total = ranked.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"))
+    total = ranked.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"), F.max(F.col("_score").isNull()).alias("_missing")
+    )
     k = F.greatest(F.lit(1), F.ceil(F.lit(float(fraction)) * F.col("_total")))
     # the cut is one row: the score at which the running count reaches k
     cut = (
@@ -135,6 +142,7 @@ def precision_at_top(
             F.col("_score").alias("_cut"),
             "_k",
             "_late_above",
+            "_missing",
             (F.col("_k") - F.col("_n_above")).alias("_places"),
         )
     )
@@ -146,10 +154,13 @@ def precision_at_top(
         F.coalesce(F.sum("_late"), F.lit(0)).alias("_late_tied")
     )
     hits = cut.crossJoin(F.broadcast(from_tie)).select(
-        (F.col("_late_above") + F.col("_late_tied")).alias("_hits"), "_k"
+        (F.col("_late_above") + F.col("_late_tied")).alias("_hits"), "_k", "_missing"
     )
     # the outer aggregate keeps one row when there are no scored rows at all
     return hits.agg(
         F.coalesce(F.sum("_k"), F.lit(0)).alias("k"),
-        F.coalesce(fn.safe_divide(F.sum("_hits"), F.sum("_k")), F.lit(0.0)).alias("precision_at_k"),
+        F.when(
+            ~F.coalesce(F.max("_missing"), F.lit(False)),
+            F.coalesce(fn.safe_divide(F.sum("_hits"), F.sum("_k")), F.lit(0.0)),
+        ).alias("precision_at_k"),
     )

@@ -1,7 +1,7 @@
 """The whole build: raw tables to staging, marts, metrics and features.
 
-Staging and intermediate layers stay lazy and are planned into whatever reads them. The wide order row, the
-dimensions, facts, metrics and features are stored when a path is given, each read by several consumers.
+When a path is given every layer is stored: the marts, the features and the quality suite each read staging and
+intermediate tables again. Without a path all stays lazy.
 """
 
 from __future__ import annotations
@@ -63,8 +63,8 @@ def build(raw: dict[str, DataFrame], path: str | None = None) -> dict[str, DataF
     def keep(name: str, df: DataFrame) -> DataFrame:
         return sinks.materialize(df, path and f"{path}/{name}")
 
-    stg = stage(raw)
-    tables = {**stg, **intermediate(stg)}
+    stg = {name: keep(name, df) for name, df in stage(raw).items()}
+    tables = {**stg, **{name: keep(name, df) for name, df in intermediate(stg).items()}}
     tables["dim_customers"] = keep("dim_customers", marts.dim_customers(stg["stg_customers"]))
     tables["dim_sellers"] = keep("dim_sellers", marts.dim_sellers(stg["stg_sellers"]))
     tables["dim_products"] = keep("dim_products", marts.dim_products(stg["stg_products"]))

@@ -19,7 +19,7 @@ from stallwise.functions import columns as fn
 def payments_aggregated(payments: DataFrame) -> DataFrame:
     """One row per order; the distinct types are collected once for both their count and their list."""
     per_order = payments.groupBy("order_id").agg(
-        ag.sum_cents(F.col("payment_value")).alias("total_payment_value"),
+        ag.sum_amount(F.col("payment_value")).alias("total_payment_value"),
         F.max("payment_installments").alias("payment_installments_max"),
         F.sort_array(F.collect_set("payment_type")).alias("types"),
         F.count("*").alias("payment_count"),
@@ -69,6 +69,7 @@ def with_delays(orders: DataFrame) -> DataFrame:
     )
 
 
+# The published column order.
 ENRICHED_COLUMNS = [
     "order_id", "customer_id", "order_purchased_at", "order_approved_at", "order_delivered_carrier_at",
     "order_delivered_customer_at", "order_estimated_delivery_at", "order_status", "normalized_status",
@@ -101,7 +102,7 @@ def item_rollup(items: DataFrame) -> DataFrame:
 def rollup_aggregates() -> list:
     return [
         F.count("*").alias("item_count"),
-        ag.sum_cents(F.col("freight_value")).alias("total_freight_value"),
+        ag.sum_amount(F.col("freight_value")).alias("total_freight_value"),
     ]
 
 
@@ -241,6 +242,7 @@ def with_review_and_category(core: DataFrame, reviews: DataFrame, products: Data
     )
 
 
+# The published column order.
 FACT_COLUMNS = [
     "order_id", "customer_key", "order_date", "delivery_date", "estimated_delivery_date", "item_count",
     "total_freight_value", "product_category", "seller_id", "total_payment_value", "delivery_days",

@@ -19,8 +19,6 @@ from stallwise.session import fresh_path
 from stallwise.sources import sinks
 
 POOLED = "infrequent"
-# Every iteration is one job over all partitions: small training sets are read in few of them.
-ROWS_PER_TRAINING_TASK = 250_000
 TIME = "order_purchase_timestamp"
 
 
@@ -190,8 +188,8 @@ def fit(train: DataFrame, version: str, max_iter: int = contract.MAX_ITERATIONS)
     vocabulary = sinks.overwrite(vocabulary, fresh_path(spark, "vocabulary"))
     labels = slot_labels(vocabulary)
     rows = train.count()
-    encoded = encode(train, statistics, labels, vocabulary)
-    encoded = encoded.coalesce(1 + rows // ROWS_PER_TRAINING_TASK)
+    # stored once: every iteration of the fit reads these rows, not the joins that made them
+    encoded = sinks.overwrite(encode(train, statistics, labels, vocabulary), fresh_path(spark, "encoded"))
     cats = contract.CATEGORICAL_FEATURES
     vectors = [f"_v_{c}" for c in cats]
     pipeline = Pipeline(

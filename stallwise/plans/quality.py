@@ -97,12 +97,12 @@ def paid_total() -> Column:
 def gmv_mismatch(daily: DataFrame, core: DataFrame) -> DataFrame:
     """Daily GMV total against the valid orders of the fact, dated or not."""
     valid = core.where(F.col("order_status").isin(contract.VALID_STATUSES) & metrics.has_items())
-    return checks.totals_differ(daily, ag.sum_cents(F.col("gmv")), valid, paid_total())
+    return checks.totals_differ(daily, ag.sum_amount(F.col("gmv")), valid, paid_total())
 
 
 def revenue_mismatch(daily: DataFrame, core: DataFrame) -> DataFrame:
     delivered = core.where((F.col("order_status") == "delivered") & metrics.has_items())
-    return checks.totals_differ(daily, ag.sum_cents(F.col("revenue")), delivered, paid_total())
+    return checks.totals_differ(daily, ag.sum_amount(F.col("revenue")), delivered, paid_total())
 
 
 def quality_suite(tables: dict[str, DataFrame], as_of: Column) -> checks.Suite:

@@ -100,3 +100,13 @@ def test_threshold_is_inclusive(spark, p, expected):
 
 def test_cents(spark):
     assert value(spark, fn.cents_to_currency(F.lit(1999))) == 19.99
+
+
+def test_amounts_are_not_rounded(spark):
+    from pyspark.sql import functions as F
+
+    from stallwise.functions import aggregates as ag
+
+    df = spark.range(1000).select(F.lit(0.004).alias("small"), F.lit(1e17).alias("large"))
+    row = df.agg(ag.sum_amount(F.col("small")).alias("small"), ag.sum_amount(F.col("large")).alias("large")).first()
+    assert (row["small"], row["large"]) == (4.0, 1e20)

@@ -96,3 +96,28 @@ def test_hot_score_and_value_are_sliced(spark):
     assert row["precision_at_k"] == pytest.approx(sum(r[2] for r in best) / 60)
     sliced = prefix.range_sliced(frame(spark, rows), [F.col("p"), F.col("k")])
     assert sliced.where("p = 0.5").select(prefix.SLICE).distinct().count() > 1
+
+
+@pytest.mark.parametrize("missing", [None, float("nan")])
+def test_missing_scores(spark, missing):
+    """One rule: no class, no AUC and no precision among the top, but every row counts."""
+    from stallwise.functions import columns as fn
+
+    rows = [(1, 0.9, 1), (2, 0.1, 0), (3, missing, 0)]
+    df = spark.createDataFrame(rows, "k int, p double, y int").withColumn("c", fn.predicted_class(F.col("p")))
+    assert [r["c"] for r in df.orderBy("k").collect()] == [1, 0, None]
+    report = cl.quality_report(df, "p", "y", "c").first()
+    assert (report["n_rows"], report["roc_auc"], report["tp"], report["tn"], report["fp"]) == (3, None, 1, 1, 0)
+    top = cl.precision_at_top(df, "p", "y", "k", 0.3).first()
+    assert (top["k"], top["precision_at_k"]) == (1, None)
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_windows_look_at_slices_only(spark, sample):
+    """Row windows are within a slice; the one window over whole groups sees a row per slice."""
+    report = plan(cl.quality_report(frame(spark, sample), "p", "y", "c"))
+    windows = [line for line in report.split("\n") if "Window [" in line]
+    assert windows and all("_slice" in line for line in windows)
