@@ -54,13 +54,31 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
 
 
+# Shuffle files of a written step are of no more use.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written table.
 
     Used where a value must not change when a task is run again (range-partition numbers), and where
     one aggregate feeds several later steps. A lost executor costs nothing already written, and readers
-    take only the columns they need.
+    take only the columns they need. The shuffle files of the write go as it ends.
     """
-    path = fresh_path(df.sparkSession, "step")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = fresh_path(spark, "step"), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.step_path = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a step that nothing reads any more: all that was made from it is written."""
+    spark = stored.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored.step_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
