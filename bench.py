@@ -19,8 +19,8 @@ from pyspark.sql import functions as F  # noqa: E402
 import driver_tables  # noqa: E402
 import query_registry as registry  # noqa: E402
 from stallwise import contract  # noqa: E402
-from stallwise.operators import drift, splits  # noqa: E402
-from stallwise.plans import build, features, modeling, monitoring, quality, retraining  # noqa: E402
+from stallwise.operators import splits  # noqa: E402
+from stallwise.plans import build, features, modeling, quality, runs  # noqa: E402
 from stallwise.session import configure, fresh_path  # noqa: E402
 from stallwise.sources import sinks  # noqa: E402
 
@@ -90,31 +90,24 @@ def main() -> None:
 
     with timed("score"):
         loaded = modeling.load(spark, f"{root}/models", "v1")
-        scored = sinks.overwrite(modeling.score(loaded, exported), f"{root}/predictions")
+        scored = modeling.store_scores(loaded, exported, f"{root}/predictions")
 
     with timed("bridge"):
         bridge = sinks.overwrite(features.fct_predictions(scored, tables["fact_orders"]), f"{root}/bridge")
 
+    active = registry.Data(spark, sf_dir).registry
     with timed("monitor"):
-        report = monitoring.monitoring_report(
-            monitoring.scored_frame(bridge), drift.drift_report(train, exported), F.current_timestamp(), 0.7
+        report = runs.monitor(
+            bridge, exported, active, lambda name: spark.read.parquet(f"{root}/{name}"), f"{root}/reports",
+            F.current_timestamp(),
         )
-        sinks.append_report(report, f"{root}/reports")
 
     with timed("retrain"):
-        latest = sinks.latest_report(spark.read.parquet(f"{root}/reports"))
-        retraining.trigger_performance(monitoring.read_windows(latest)).collect()
-        retraining.trigger_drift(monitoring.read_numeric_drift(latest)).collect()
-        extended = splits.extended_split(
-            splits.labelled(exported, contract.LABEL), "order_purchase_timestamp", registry.EXTENDED_END,
-            registry.TEST_START,
+        done = runs.retrain(
+            exported, active, report, f"{root}/models", F.lit(registry.AS_OF).cast("date"), registry.EXTENDED_END,
+            registry.TEST_START, force=True,
         )
-        longer = sinks.overwrite(extended.where(F.col("split") == splits.TRAIN), f"{root}/train_v2")
-        challenger = modeling.fit(longer, "v2")
-        modeling.save(challenger, f"{root}/models")
-        test = extended.where(F.col("split") == splits.TEST)
-        both = retraining.pair_scores(modeling.labelled_scores(loaded, test), modeling.labelled_scores(challenger, test))
-        retraining.compare_models(both).collect()
+        done.registry.collect()
 
     for name in HEADLINE:
         with timed(name):

@@ -567,6 +567,12 @@ ANSWERS = {
         from (select is_delayed, {split_of('order_purchased_at')} as split from f_core where is_delayed is not null) t
         group by 1, 2""",
     "confusion_matrix": "select tp, fp, fn, tn from q_cm_all",
+    "evaluate_split": """select grp as split, n_rows, roc_auc, "precision", recall, f1, tp, fp, fn, tn from q_split
+        where grp <> 'train'""",
+    "evaluation_summary": """select n.split, (select count(*) from z_scores z where z.split = n.split) as split_rows, roc_auc,
+        "precision", recall, f1, tp, fp, fn, tn
+        from (select unnest(['train', 'validation', 'test']) as split) n
+        left join q_split q on q.grp = n.split and q.grp <> 'train'""",
     "classification_metrics": 'select grp as split, "precision", recall, f1 from q_split',
     "roc_auc": "select grp as split, auc as roc_auc from q_auc_split",
     "precision_at_k": "select * from q_top",

@@ -228,6 +228,9 @@ def save(model: DelayModel, path: str) -> str:
 def load(spark: SparkSession, path: str, version: str) -> DelayModel:
     base = f"{path.rstrip('/')}/{version}"
     vocabulary = spark.read.parquet(f"{base}/vocabulary")
+    repeated = vocabulary.groupBy("feature", "category").count().where("count > 1").first()
+    if repeated is not None:
+        raise ValueError(f"category {repeated['category']} of {repeated['feature']} has two slots")
     numeric = spark.read.parquet(f"{base}/numeric").collect()
     return DelayModel(
         version,
@@ -251,6 +254,15 @@ def score(model: DelayModel, features: DataFrame, stamp: Column | None = None) -
     )
 
 
+def store_scores(model: DelayModel, features: DataFrame, path: str, stamp: Column | None = None) -> DataFrame:
+    """Writes one prediction per feature row; another number of rows than was read is an error."""
+    stored = sinks.overwrite(score(model, features, stamp), path)
+    read, written = features.count(), stored.count()
+    if read != written:
+        raise ValueError(f"{read} rows to score, but {written} predictions")
+    return stored
+
+
 def score_dry_run(model: DelayModel, features: DataFrame) -> DataFrame:
     """(n_input, n_scored): runs the scoring and writes nothing."""
     scored = score(model, features).agg(
