@@ -23,6 +23,14 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def portions(batches: Iterator[pa.RecordBatch], text: str | int, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches cut into pieces of about ``size`` bytes of text, so that what is made of one stays small."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * size // max(1, batch.column(text).nbytes))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict[str, pa.Array] | pa.RecordBatch], schema: str) -> DataFrame:
     """``mapInArrow`` with a function of one batch; a dictionary of columns becomes a batch."""
 

@@ -7,6 +7,8 @@ Equal sets are one node. The rest goes in four steps.
    space is cut into that many segments and a few more, so linked sets agree on a whole segment that is not empty; the
    hash of a segment's shingles is a signature. A set near the lower edge of the next band also uses that band's cut. A set with
    too many empty segments (rare) also uses the next of several independent cuts, so no link is missed.
+   A set shares at least as many signatures of a cut as it has occupied segments beyond the shingles that can differ; cuts in
+   which it shares fewer with anyone are dropped.
 2. Groups. A signature that two nodes share has its smallest node as leader; each node joins the group of the leader it shares
    most signatures with. Groups are split so that their members stay within ``GROUP_TOKENS`` shingles.
 3. Token-group matrix. A group is stored as one row with its members' sets and the union of them. Two groups meet once
@@ -26,15 +28,15 @@ null. Other columns are ignored. Different shingles are assumed to have differen
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallwise.llm.common import text_bytes
-from stallwise.session import durable
+from stallwise.llm.common import portions, text_bytes
+from stallwise.session import discard, durable
 
 WIDTH = 3
 PERCENT = 90
@@ -42,8 +44,10 @@ GROUP_MEMBERS = 128
 GROUP_TOKENS = 100_000
 CUTS = 6  # independent cuts; a set that finds all of them too empty uses a signature of its size band alone
 MOST_BROADCAST = 500_000  # ids, 16 bytes each, up to which the list of documents to read again is broadcast
+LAST_CUT = 511  # the low bits of a signature
 NO_ID = (1 << 63) - 1
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 300_000
+SLICES = 8  # signatures are matched in so many rounds, by hash
 
 
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -86,12 +90,25 @@ def node_of(tokens: np.ndarray) -> int:
 
 
 @cache
-def bands(percent: int) -> list[tuple[int, int, int]]:
-    """(smallest, largest size, most differing shingles) per band, from the smallest sizes at which unequal sets can link."""
+def bands(percent: int) -> list[tuple[int, int, int, int]]:
+    """(smallest size, largest size, most differing shingles, segments) per band, from the smallest sizes at which
+    unequal sets can link.
+
+    A set must occupy more segments than shingles can differ. There are so many segments that the smallest set which
+    uses the band's cut does so with two standard deviations to spare.
+    """
     low, out = -(-100 // (100 - percent)), []
     while low < 1 << 31:
         high = low * 3 // 2
-        out.append((low, high, 2 * high * (100 - percent) // (100 + percent)))
+        differing = 2 * high * (100 - percent) // (100 + percent)
+        size, segments = max(2, percent * low // 100), differing + 1
+        while segments < 8 * size:
+            free, pair = (1 - 1 / segments) ** size, max(0.0, 1 - 2 / segments) ** size
+            spread = segments * (segments - 1) * pair + segments * free - (segments * free) ** 2
+            if segments * (1 - free) - 2 * max(0.0, spread) ** 0.5 >= differing + 1:
+                break
+            segments += max(1, segments // 50)
+        out.append((low, high, differing, segments))
         low = high + 1
     return out
 
@@ -105,22 +122,31 @@ def cut(tokens: np.ndarray, segments: int, band: int, seed: int) -> tuple[np.nda
     return mixed(sums + at[starts] * np.uint64(0x9E3779B97F4A7C15), 1000 + 64 * seed + band), segments - len(starts)
 
 
-def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
-    n, found = len(tokens), []
-    for band, (low, high, differing) in enumerate(bands(percent)):
+def signatures(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, list[int], list[int]]:
+    """All signatures, with the number of their cut in the low bits; the cuts, and how many signatures of each a set
+    shares with any set that it is linked to by that cut."""
+    n, found, cuts, needs = len(tokens), [], [], []
+    for band, (low, high, differing, segments) in enumerate(bands(percent)):
         if n > high:
             continue
         if 100 * n < percent * low:
             break
-        spare = 2 + differing // 64
         for seed in range(CUTS):
-            made, empty = cut(tokens, differing + 1 + spare, band, seed)
-            found.append(made)
-            if empty <= spare:
+            made, empty = cut(tokens, segments, band, seed)
+            found.append(numbered(made, CUTS * band + seed))
+            cuts.append(CUTS * band + seed)
+            needs.append(max(1, segments - empty - differing))
+            if segments - empty > differing:
                 break
         else:
-            found.append(mixed(np.array([band], dtype=np.uint64), 77))
-    return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+            found.append(numbered(mixed(np.array([band], dtype=np.uint64), 77), LAST_CUT))
+            cuts.append(LAST_CUT)
+            needs.append(1)
+    return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64), cuts, needs
+
+
+def numbered(made: np.ndarray, number: int) -> np.ndarray:
+    return (made & ~np.uint64(LAST_CUT)) | np.uint64(number)
 
 
 def lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -130,18 +156,24 @@ def lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def signed_sets(documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """id, text_key, n_shingles, node (null without shingles), signatures of every document."""
+    """id, text_key, n_shingles, node (null without shingles), cuts and needs of every document, and its signatures in
+    SLICES columns."""
+    names = ["id", "text_key", "n_shingles", "node", "cuts", "needs", *[f"signatures_{k}" for k in range(SLICES)]]
+    kinds = ["long"] * 4 + ["array<int>"] * 2 + ["array<long>"] * SLICES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in portions(batches, "text"):
             sets = [shingles(text, width, hashes) for text in text_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), lists([signatures(s, percent) for s in sets], pa.int64())],
-                names=["id", "text_key", "n_shingles", "node", "signatures"],
-            )
+            signed = [signatures(s, percent) for s in sets]
+            made = [s[0] for s in signed]
+            parts = [(m >> np.uint64(40)) % np.uint64(SLICES) for m in made]
+            sliced = [lists([m[p == k] for m, p in zip(made, parts)], pa.int64()) for k in range(SLICES)]
+            sliced = [pa.array([s[1] for s in signed], pa.list_(pa.int32())), pa.array([s[2] for s in signed], pa.list_(pa.int32())), *sliced]
+            found = [pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_key"), *found, *sliced], names=names)
 
-    return rows_in(documents).mapInArrow(run, "id long, text_key long, n_shingles long, node long, signatures array<long>")
+    return rows_in(documents).mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in zip(names, kinds)))
 
 
 def rows_in(documents: DataFrame) -> DataFrame:
@@ -153,7 +185,7 @@ def sets_again(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in portions(batches, "text"):
             sets = [s for s in (shingles(text, width, hashes) for text in text_bytes(batch.column("text"))) if len(s)]
             yield pa.RecordBatch.from_pydict({"node": pa.array([node_of(s) for s in sets], pa.int64()), "tokens": pa.array([s.tobytes() for s in sets], pa.binary())})
 
@@ -161,32 +193,49 @@ def sets_again(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return rows_in(documents).join(chosen, "id", "left_semi").mapInArrow(run, "node long, tokens binary")
 
 
-def memberships(sets: DataFrame) -> DataFrame:
-    """signature, node, leader: all signatures of more than one node with their nodes."""
-    rows = sets.select(F.explode("signatures").alias("signature"), "node")
+def led(rows: DataFrame) -> DataFrame:
+    """The rows (signature, node) whose signature is on more than one node, with its smallest node as leader."""
     shared = rows.groupBy("signature").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where(F.col("leader") != F.col("last"))
-    return durable(rows.join(shared.select("signature", "leader"), "signature"))
+    return rows.join(shared.select("signature", "leader"), "signature")
+
+
+def memberships(sets: DataFrame) -> DataFrame:
+    """signature, node, leader: the signatures that nodes share.
+
+    Slices are matched one after the other, so that the shuffles of one can go before the next begins. A node then
+    stays in a cut only with as many shared signatures as a link needs: a passage in common is seldom enough.
+    """
+    found = [durable(led(sets.select(F.explode(f"signatures_{k}").alias("signature"), "node").distinct())) for k in range(SLICES)]
+    rows = reduce(DataFrame.unionByName, found).select("signature", "node", F.col("signature").bitwiseAND(F.lit(LAST_CUT).cast("long")).cast("int").alias("cut"))
+    needs = sets.where(F.size("cuts") > 0).select("node", F.explode(F.arrays_zip("cuts", "needs")).alias("c")).select("node", F.col("c.cuts").alias("cut"), F.col("c.needs").alias("needed")).distinct()
+    enough = rows.groupBy("node", "cut").agg(F.count("*").alias("n")).join(needs, ["node", "cut"]).where("n >= needed").select("node", "cut")
+    kept = durable(rows.join(enough, ["node", "cut"], "left_semi").select("signature", "node"))
+    members = durable(led(kept))
+    for step in [*found, kept]:
+        discard(step)
+    return members
 
 
 def groups_of(members: DataFrame, sets: DataFrame) -> DataFrame:
     """node, group: the leader with most shared signatures, and a part of its group of bounded size."""
     best = members.groupBy("node", "leader").agg(F.count("*").alias("n")).groupBy("node").agg(F.max_by("leader", F.struct("n", -F.col("leader"))).alias("leader"))
-    sizes = sets.where(F.size("signatures") > 0).groupBy("node").agg(F.max("n_shingles").alias("size"))
+    sizes = sets.where(F.col("node").isNotNull()).groupBy("node").agg(F.max("n_shingles").alias("size"))
     sized = best.join(sizes, "node")
     parts = sized.groupBy("leader").agg(F.ceil(F.greatest(F.sum("size") / GROUP_TOKENS, F.count("*") / GROUP_MEMBERS)).alias("parts"))
     return durable(sized.join(parts, "leader").select("node", F.xxhash64("leader", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("group")))
 
 
 def group_rows(tokens: DataFrame, groups: DataFrame) -> DataFrame:
-    """The token-group matrix: group, nodes, sizes, tokens of all members, union."""
+    """The token-group matrix: group, nodes, sizes, union of the members' sets, and their tokens as places in it."""
     import pandas as pd
 
     def stored(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("node").sort_values("node")
         sets = [np.frombuffer(t, np.uint64) for t in frame["tokens"]]
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        union = np.unique(np.concatenate(sets)).tobytes() if len(sets) > 1 else b""  # of one member: the member
-        return pd.DataFrame({"group": [frame["group"].iloc[0]], "nodes": [frame["node"].to_numpy(np.int64).tobytes()], "sizes": [sizes.tobytes()], "tokens": [np.concatenate(sets).tobytes()], "union": [union]})
+        union, places = np.unique(np.concatenate(sets), return_inverse=True)
+        tokens = places.astype(np.int32).tobytes() if len(sets) > 1 else b""  # of one member: all in order
+        return pd.DataFrame({"group": [frame["group"].iloc[0]], "nodes": [frame["node"].to_numpy(np.int64).tobytes()], "sizes": [sizes.tobytes()], "tokens": [tokens], "union": [union.tobytes()]})
 
     return durable(tokens.join(groups, "node").groupBy("group").applyInPandas(stored, "group long, nodes binary, sizes binary, tokens binary, union binary"))
 
@@ -194,8 +243,8 @@ def group_rows(tokens: DataFrame, groups: DataFrame) -> DataFrame:
 class Group:
     def __init__(self, nodes: bytes, sizes: bytes, tokens: bytes, union: bytes) -> None:
         self.nodes, self.sizes = np.frombuffer(nodes, np.int64), np.frombuffer(sizes, np.int64)
-        self.tokens = np.frombuffer(tokens, np.uint64)
-        self.union = np.frombuffer(union, np.uint64) if union else self.tokens
+        self.union = np.frombuffer(union, np.uint64)
+        self.tokens = self.union[np.frombuffer(tokens, np.int32)] if tokens else self.union
         self.owner = np.repeat(np.arange(len(self.nodes)), self.sizes)
 
     def bounded(self, other: "Group", percent: int) -> np.ndarray:
@@ -284,12 +333,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 def labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The sets, and of, smallest (id and text_key) for every node: the first document of its component."""
-    sets = durable(signed_sets(documents, width, percent))
-    members = memberships(sets)
+    signed = durable(signed_sets(documents, width, percent))
+    members = memberships(signed)
+    sets = durable(signed.select("id", "text_key", "n_shingles", "node"))
+    discard(signed)
     groups = groups_of(members, sets)
     ids = sets.join(groups, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
     rows = group_rows(sets_again(documents, durable(ids), width), groups)
-    found = components(links(members, groups, rows, percent))
+    edges = durable(links(members, groups, rows, percent))
+    for step in (members, groups, rows):
+        discard(step)
+    found = components(edges)
     nodes = sets.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("id", "text_key")).alias("first"))
     named = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("first").alias("smallest"))
@@ -311,10 +365,9 @@ def first_of_each(documents: DataFrame, width: int = WIDTH, percent: int = PERCE
     alone = sets.where(F.col("node").isNull()).select("id", "text_key")
     stay = durable(named.select("smallest.id", "smallest.text_key").unionByName(alone).groupBy("id", "text_key").agg(F.count("*").alias("n")))
     repeated = sets.where(F.col("node").isNotNull()).groupBy("id", "text_key").agg(F.count("*").alias("n")).where("n > 1").join(stay, ["id", "text_key"], "left_semi")
-    keyed = documents.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_key", F.xxhash64("text"))
-    chosen = stay.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"))
-    kept = keyed.join(chosen, ["_id", "_key"], "left_semi")
+    keyed = documents.select(F.struct("*").alias("document"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("text_key"))
+    kept = keyed.join(stay.select("id", "text_key"), ["id", "text_key"], "left_semi")
     if not repeated.isEmpty():
-        again = durable(repeated.select(F.col("id").alias("_id"), F.col("text_key").alias("_key")))
-        kept = kept.join(again, ["_id", "_key"], "left_anti").unionByName(kept.join(again, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"]))
-    return kept.select(*documents.columns)
+        again = durable(repeated.select("id", "text_key"))
+        kept = kept.join(again, ["id", "text_key"], "left_anti").unionByName(kept.join(again, ["id", "text_key"], "left_semi").dropDuplicates(["id", "text_key"]))
+    return kept.select("document.*")
