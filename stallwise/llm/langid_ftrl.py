@@ -175,7 +175,7 @@ def gradient(rows: DataFrame, weights: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"total": pa.array([total.tobytes()], pa.binary()), "n": pa.array([n])})
 
     sums, n = np.zeros((size, classes)), 0
-    for part in rows.mapInArrow(partial, "total binary, n long").collect():  # PARTS rows, or so
+    for part in rows.coalesce(PARTS).mapInArrow(partial, "total binary, n long").collect():  # PARTS rows of fixed size
         sums += np.frombuffer(part["total"]).reshape(size, classes)
         n += part["n"]
     return sums / max(n, 1)

@@ -269,7 +269,7 @@ def gradient(blocks: DataFrame, weights: Weights) -> tuple[list[np.ndarray], flo
         yield pa.RecordBatch.from_pydict({"sums": pa.array([np.concatenate([s.ravel() for s in sums]).astype(np.float32).tobytes()], pa.binary()), "loss": pa.array([loss])})
 
     flat, loss = np.zeros(sum(p.size for p in weights.parts)), 0.0
-    for part in blocks.mapInArrow(partial, "sums binary, loss double").collect():  # PARTS rows of fixed size
+    for part in blocks.coalesce(PARTS).mapInArrow(partial, "sums binary, loss double").collect():  # PARTS rows of fixed size
         flat += np.frombuffer(part["sums"], np.float32)
         loss += part["loss"]
     ends = np.cumsum([p.size for p in weights.parts])
