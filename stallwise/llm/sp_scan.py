@@ -34,17 +34,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
-from stallwise.llm.common import text_bytes
+from stallwise.llm.common import portions, text_bytes
 from stallwise.session import durable
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 STAND_INS = [chr(c) for c in range(0xFDD0, 0xFDF0)]  # code points that are no characters; one stands for a literal mark
 GIANT, CHUNK, RUN = 65_536, 32_768, 64
-WORDS_KEPT = 400_000
+WORDS_KEPT = 300_000
 UNIT = 1 << 16  # scores as whole numbers
 LOWEST = -(1 << 62)
 UNKNOWN_PENALTY = 10
+MANY_LENGTH, MANY_WORDS, TOGETHER = 48, 20_000, 2_000_000  # bounds of what is segmented together
 
 
 @dataclass
@@ -107,11 +108,56 @@ def tree_of(known: dict[str, tuple[int, int]]) -> dict:
     return root
 
 
+class Steps:
+    """The same branches as arrays: a hash table from (node, character) to the next node, for many words at once."""
+
+    def __init__(self, known: dict[str, tuple[int, int]]) -> None:
+        edges: dict[tuple[int, str], int] = {}
+        ends: list[tuple[int, int]] = [(-1, 0)]
+        for piece, worth in known.items():
+            node = 0
+            for char in piece:
+                node = edges.setdefault((node, char), len(ends))
+                if node == len(ends):
+                    ends.append((-1, 0))
+            ends[node] = worth
+        self.piece, self.score = np.array([e[0] for e in ends], dtype=np.int64), np.array([e[1] for e in ends], dtype=np.int64)
+        self.bits = max(4, (8 * len(edges)).bit_length())
+        self.keys, self.next = np.full(1 << self.bits, -1, dtype=np.int64), np.full(1 << self.bits, -1, dtype=np.int64)
+        wanted = np.array([(node << 21) | ord(char) for node, char in edges], dtype=np.int64)
+        goals, at = np.array(list(edges.values()), dtype=np.int64), self.place(wanted)
+        while len(wanted):  # linear probing: of those that want a free place the last written gets it
+            free = self.keys[at] < 0
+            self.keys[at[free]], self.next[at[free]] = wanted[free], goals[free]
+            left = self.keys[at] != wanted
+            wanted, goals, at = wanted[left], goals[left], (at[left] + 1) % len(self.keys)
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def after(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The next node of each, -1 where there is none."""
+        keys = (node << 21) | char
+        at = self.place(keys)
+        seen = self.keys[at]
+        out = np.where(seen == keys, self.next[at], -1)
+        open_ = np.flatnonzero((seen != keys) & (seen >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) % len(self.keys)
+            seen = self.keys[at[open_]]
+            hit = seen == keys[open_]
+            out[open_[hit]] = self.next[at[open_[hit]]]
+            open_ = open_[~hit & (seen >= 0)]
+        return out
+
+
 class Segmenter:
     def __init__(self, pieces: Pieces, stand_in: str) -> None:
         self.pieces, self.stand_in = pieces, stand_in
-        self.kept: dict[str, tuple[bytes, int, int]] = {}
+        self.kept: dict[str, bytes] = {}
+        self.worth: dict[str, tuple[int, int]] = {}
         self.tree = tree_of(pieces.known)
+        self.steps: Steps | None = None
 
     def spelled(self, char: str) -> list[int]:
         raw = MARK.encode() if char == self.stand_in else char.encode("utf-8", "surrogateescape")
@@ -158,18 +204,86 @@ class Segmenter:
             end = before[end]
         return out[::-1]
 
-    def word(self, word: str) -> tuple[bytes, int, int]:
+    def scored(self, word: str) -> tuple[bytes, int, int]:
         """Ids as int32 bytes, score and tie of a whole word."""
+        n = len(word)
+        score, ties, before, last = self.spread(word, 0, n, range(n))
+        return array("i", self.trace(word, before, last, 0, n)).tobytes(), score[n], ties[n]
+
+    def word(self, word: str) -> bytes:
         found = self.kept.get(word)
         if found is None:
-            n = len(word)
-            score, ties, before, last = self.spread(word, 0, n, range(n))
-            ids = self.trace(word, before, last, 0, n)
-            if len(self.kept) >= WORDS_KEPT:
-                self.kept.clear()
-            found = self.kept[word] = (array("i", ids).tobytes(), score[n], ties[n])
+            found = self.kept[word] = self.scored(word)[0]
         return found
 
+    def sums(self, words: list[str]) -> tuple[int, int]:
+        """Score and tie of a row of words."""
+        total, told = 0, 0
+        for word in words:
+            found = self.worth.get(word)
+            if found is None:
+                found = self.worth[word] = self.scored(word)[1:]
+            total, told = total + found[0], told + found[1]
+        if len(self.worth) > WORDS_KEPT:
+            self.worth.clear()
+        return total, told
+
+    def learn(self, words: list[str]) -> None:
+        """Segments many new words: those of one length together, by the same rule as ``word``."""
+        if self.steps is None:
+            self.steps = Steps(self.pieces.known)
+        by_length: dict[int, list[str]] = {}
+        for word in words:
+            by_length.setdefault(len(word), []).append(word)
+        for n, some in by_length.items():
+            if n > MANY_LENGTH or len(some) < 8:
+                continue  # left to ``word``
+            for at in range(0, len(some), MANY_WORDS):
+                self.learn_equal(some[at : at + MANY_WORDS], n)
+        for word in words:
+            self.word(word)
+
+    def learn_equal(self, words: list[str], n: int) -> None:
+        steps, count, unknown = self.steps, len(words), self.pieces.unknown
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(count, n).T.astype(np.int64)
+        score, ties = np.full((n + 1, count), LOWEST, dtype=np.int64), np.zeros((n + 1, count), dtype=np.int64)
+        before, last = np.zeros((n + 1, count), dtype=np.int64), np.full((n + 1, count), -1, dtype=np.int64)
+        score[0] = 0
+        for s in range(n):
+            alive, node = np.arange(count), np.zeros(count, dtype=np.int64)
+            for e in range(s + 1, min(n, s + self.pieces.longest) + 1):
+                after = steps.after(node, chars[e - 1, alive])
+                piece, worth = steps.piece[after], steps.score[after]
+                piece[after < 0] = -1
+                if e == s + 1:
+                    who, piece, worth = alive, piece, np.where(piece < 0, unknown, worth)
+                else:
+                    ends = piece >= 0
+                    who, piece, worth = alive[ends], piece[ends], worth[ends]
+                total = score[s, who] + worth
+                told = ties[s, who] + (((piece * 0x9E3779B1 + s * 0x85EBCA77) & 0xFFFFFFFF) >> 12)
+                old = score[e, who]
+                better = (total > old) | ((total == old) & (told > ties[e, who]))
+                won = who[better]
+                score[e, won], ties[e, won], before[e, won], last[e, won] = total[better], told[better], s, piece[better]
+                on = after >= 0
+                alive, node = alive[on], after[on]
+                if not len(alive):
+                    break
+        at, everyone, found = np.full(count, n), np.arange(count), []
+        while at.any():
+            found.append(np.where(at > 0, last[at, everyone], -2))
+            at = before[at, everyone]
+        ids = np.array(found[::-1]).T
+        plain = ~(ids == -1).any(axis=1)  # a character spelled in bytes is left to ``word``
+        lengths = (ids[plain] >= 0).sum(axis=1)
+        flat = ids[plain][ids[plain] >= 0].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(lengths)).tolist()
+        begin, chosen = 0, np.flatnonzero(plain)
+        for i, end in zip(chosen.tolist(), ends):
+            self.kept[words[i]] = flat[begin:end]
+            begin = end
+
 
 class Encoder:
     """Whole texts and chunks to ids; one per task."""
@@ -188,9 +302,34 @@ class Encoder:
         if not text:
             return b""
         marked, stand_in = with_marks(text)
-        segmenter = self.segmenter(stand_in)
-        kept, word = segmenter.kept, segmenter.word
-        return b"".join([(kept.get(part) or word(part))[0] for part in self.parts(marked)])
+        return b"".join(map(self.segmenter(stand_in).word, self.parts(marked)))
+
+    def encode_all(self, texts: list[bytes | None]) -> list[bytes | None]:
+        """Ids of many texts; the words that are new in about ``TOGETHER`` characters are segmented together."""
+        out: list[bytes | None] = []
+        held: list[tuple[list[str], Segmenter] | None] = []
+        size = 0
+        for text in texts:
+            if text is None:
+                held.append(None)
+            else:
+                marked, stand_in = with_marks(text) if text else ("", STAND_INS[0])
+                held.append((self.parts(marked), self.segmenter(stand_in)))
+                size += len(marked)
+            if size >= TOGETHER:
+                out += self.joined(held)
+                held, size = [], 0
+        return out + self.joined(held)
+
+    def joined(self, held: list[tuple[list[str], Segmenter] | None]) -> list[bytes | None]:
+        for segmenter in self.segmenters.values():
+            if len(segmenter.kept) > WORDS_KEPT:
+                segmenter.kept.clear()
+        usual = self.segmenter(STAND_INS[0])
+        new = set().union(*[item[0] for item in held if item and item[1] is usual])
+        usual.learn(list(new.difference(usual.kept)))
+        known = usual.kept.__getitem__
+        return [None if item is None else b"".join(map(known if item[1] is usual else item[1].word, item[0])) for item in held]
 
     def chunks(self, text: bytes, size: int) -> list[tuple[int, str, int, int, str]]:
         """(number, characters with those a piece may reach beyond the end, length, place of the start in its word, stand-in)."""
@@ -227,12 +366,12 @@ class Encoder:
             for i in range(length + 1, n):  # a piece that reaches beyond a chunk shorter than itself
                 out[0, i, i - length] = 0
             return out
-        middle = [segmenter.word(w) for w in words]
+        between, between_tie = segmenter.sums(words)
         score, ties, _, _ = segmenter.spread(chunk, points[-1], length, places)
         front = chunk[: points[0]]
         for i in range(n):
             to_point, to_tie, _, _ = segmenter.spread(front, i, points[0], places)
-            worth, told = to_point[-1] + sum(m[1] for m in middle), to_tie[-1] + sum(m[2] for m in middle)
+            worth, told = to_point[-1] + between, to_tie[-1] + between_tie
             for j in ends:
                 if to_point[-1] > LOWEST and score[length + j] > LOWEST:
                     out[:, i, j] = worth + score[length + j], told + ties[length + j]
@@ -252,7 +391,7 @@ class Encoder:
         head = segmenter.trace(front, before, last, i, points[0])
         _, _, before, last = segmenter.spread(chunk, points[-1], length, places)
         tail = segmenter.trace(chunk, before, last, points[-1], length + j)
-        return array("i", head).tobytes() + b"".join([segmenter.word(w)[0] for w in words]) + array("i", tail).tobytes()
+        return array("i", head).tobytes() + b"".join(map(segmenter.word, words)) + array("i", tail).tobytes()
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -331,20 +470,21 @@ def encoded(documents: DataFrame, pieces: Pieces, giant: int = GIANT, chunk: int
     Texts of more than ``giant`` characters are cut into chunks of ``chunk`` characters.
     """
     documents = documents.drop("ids")
-    long = F.coalesce(F.length(F.col("text").cast("string")) > giant, F.lit(False))
+    at = documents.columns.index("text")
+    long = F.coalesce(F.length("text") > giant, F.lit(False))
     schema = StructType([*documents.schema.fields]).add("ids", ArrayType(IntegerType()))
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(pieces)
-        for batch in batches:
-            ids = id_lists([None if t is None else encoder.encode(t) for t in text_bytes(batch.column("_text"))])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*batch.schema.names[:-1], "ids"])
+        for batch in portions(batches, at):
+            ids = id_lists(encoder.encode_all(text_bytes(batch.column(at))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, "ids"])
 
-    small = documents.where(~long).withColumn("_text", F.col("text").cast("string")).mapInArrow(short, schema)
-    giants = durable(documents.where(long).withColumn("_row", F.monotonically_increasing_id()))
+    small = documents.where(~long).mapInArrow(short, schema)
+    giants = durable(documents.where(long).select(F.struct("*").alias("document"), F.col("text"), F.monotonically_increasing_id().alias("row")))
     if giants.isEmpty():
         return small
-    return small.unionByName(giant_ids(giants, pieces, chunk).select(*schema.names))
+    return small.unionByName(giant_ids(giants, pieces, chunk).select("document.*", "ids"))
 
 
 def giant_ids(giants: DataFrame, pieces: Pieces, size: int) -> DataFrame:
@@ -363,7 +503,7 @@ def giant_ids(giants: DataFrame, pieces: Pieces, size: int) -> DataFrame:
                         names=["row", "chunk", "run", "part", "length", "place", "stand_in"],
                     )
 
-    chunks = durable(giants.select(F.col("_row").alias("row"), F.col("text").cast("string").alias("text")).mapInArrow(split, fields.replace("part string", "part binary")))
+    chunks = durable(giants.select("row", "text").mapInArrow(split, fields.replace("part string", "part binary")))
 
     def each(function: Callable[[Encoder, dict, str], bytes], out: str) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,7 +523,7 @@ def giant_ids(giants: DataFrame, pieces: Pieces, size: int) -> DataFrame:
     placed = chunks.join(states_between(matrices), ["row", "chunk"])
     traced = placed.mapInArrow(each(lambda e, r, part: e.traced(part, r["length"], r["place"], r["stand_in"], r["i"], r["j"]), "ids"), "row long, chunk int, ids array<int>")
     whole = traced.groupBy("row").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return giants.join(whole, F.col("_row") == F.col("row"))
+    return giants.join(whole, "row")
 
 
 def decoded(encodings: DataFrame, pieces: Pieces, out: str = "decoded") -> DataFrame:
@@ -394,7 +534,7 @@ def decoded(encodings: DataFrame, pieces: Pieces, out: str = "decoded") -> DataF
     table = pieces.bytes_of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, at):
             ids = batch.column(at)
             flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
             texts: list[bytes | None] = []
