@@ -2,8 +2,8 @@
 
 Documents that share a link value (the same text, host, conversation ...) are linked. Every linked document starts in a shard
 by hash. In each round links tell how many of their documents each shard holds; a document wants the shard with most of its
-neighbours, and moves there if that is more than it has now and the shard's quota allows. Requests beyond the quota
-are granted in the order of their gain. So groups gather in one shard and the number of linked pairs in different shards falls.
+neighbours, and moves there if that is more than it has now and the quotas allow: two shards exchange as many as
+ask in both directions, and free places take more. Requests beyond that are granted in the order of their gain. So groups gather in one shard and the number of linked pairs in different shards falls.
 Documents without links then fill every shard to its exact size: counts differ by one at most.
 
 Scale. All is done by joins and sums over narrow rows of linked documents; texts are read once for their size and
@@ -51,18 +51,15 @@ def by_shard(values: list, otherwise, shard: str) -> Column:
     return out
 
 
-def requests(state: DataFrame, free: list[int], turn: int) -> DataFrame:
+def requests(state: DataFrame, offered: list[int], shards: int, turn: int) -> DataFrame:
     """node, shard, to (null: stays), grade of every linked document; lower grades go first."""
-    shards = len(free)
     counts = state.groupBy("link").agg(F.array(*[F.sum((F.col("shard") == k).cast("long")) for k in range(shards)]).alias("held"))
     votes = state.join(counts, "link").groupBy("node", "shard").agg(*[F.sum(F.col("held")[k]).alias(f"v{k}") for k in range(shards)])
-    own = F.greatest(*[F.when(F.col("shard") == k, F.col(f"v{k}")).otherwise(F.lit(-1)) for k in range(shards)]) if shards > 1 else F.col("v0")
+    own = F.array(*[F.col(f"v{k}") for k in range(shards)])[F.col("shard")]
     # of equal votes the shard that a hash puts first in this round, for all documents alike
     rank = sorted(range(shards), key=lambda k: (k * 2654435761 + turn * 40503) % 65537)
     first = {k: shards - at for at, k in enumerate(rank)}
-    offers = [F.struct(F.col(f"v{k}").alias("votes"), F.lit(first[k]).alias("first"), F.lit(k).alias("shard")) for k in range(shards) if free[k] > 0]
-    if not offers:
-        return votes.select("node", "shard", F.lit(None).cast("int").alias("to"), F.lit(None).cast("long").alias("grade"))
+    offers = [F.struct(F.col(f"v{k}").alias("votes"), F.lit(first[k]).alias("first"), F.lit(k).alias("shard")) for k in offered]
     best = F.array_max(F.array(*offers))
     better = (F.col("best.votes") > own) | ((F.col("best.votes") == own) & (F.col("best.first") > by_shard([first[k] for k in range(shards)], 0, "shard")))
     gain = F.floor(F.log2(F.col("best.votes") - own + 1))
@@ -72,21 +69,46 @@ def requests(state: DataFrame, free: list[int], turn: int) -> DataFrame:
     )
 
 
+def allowances(asked: dict[tuple[int, int], int], free: list[int]) -> list[tuple[int, int, int]]:
+    """(shard, to, moves): as many as go the other way, and what the free places of the goal allow beyond that."""
+    left, out = list(free), []
+    for (a, b), n in sorted(asked.items()):
+        even = min(n, asked.get((b, a), 0))
+        more = min(n - even, left[b])
+        left[b] -= more
+        if even + more:
+            out.append((a, b, even + more))
+    return out
+
+
 def propagated(links: DataFrame, quota: list[int], rounds: int = 8) -> DataFrame:
     """node, shard of every document in ``links`` (node, link), stored; each link value should be on two rows or more."""
-    shards = len(quota)
+    shards, spark = len(quota), links.sparkSession
     state = durable(links.select("node", "link", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard")))
     held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count_distinct("node").alias("n")).collect()}
     for turn in range(rounds):
         free = [max(0, quota[k] - held.get(k, 0)) for k in range(shards)]
-        asked = durable(requests(state, free, turn))
-        upto = F.sum("n").over(Window.partitionBy("to").orderBy("grade"))
-        graded = asked.where(F.col("to").isNotNull()).groupBy("to", "grade").agg(F.count("*").alias("n")).withColumn("upto", upto)
-        last = {r["to"]: r["grade"] for r in graded.where(F.col("upto") <= by_shard(free, 0, "to")).groupBy("to").agg(F.max("grade").alias("grade")).collect()}
-        if not last:
-            break
-        granted = F.col("grade") <= by_shard([last.get(k, -1) for k in range(shards)], -1, "to")
-        moved = asked.select("node", F.when(granted, F.col("to")).otherwise(F.col("shard")).alias("shard"))
+        # every other round only shards with places are asked for, so that a group whose shard is full finds the next
+        offered = [k for k in range(shards) if turn % 2 == 0 or free[k] > 0]
+        if not offered:
+            continue
+        asked = durable(requests(state, offered, shards, turn))
+        moves = asked.where(F.col("to").isNotNull())
+        wanted = {(r["shard"], r["to"]): r["n"] for r in moves.groupBy("shard", "to").agg(F.count("*").alias("n")).collect()}
+        allowed = allowances(wanted, free)
+        if not allowed:
+            if not wanted:
+                break
+            continue
+        # one row per pair of shards
+        limits = F.broadcast(spark.createDataFrame(allowed, "shard int, to int, moves long"))
+        upto = F.sum("n").over(Window.partitionBy("shard", "to").orderBy("grade"))
+        graded = moves.groupBy("shard", "to", "grade").agg(F.count("*").alias("n")).withColumn("upto", upto)
+        last = graded.join(limits, ["shard", "to"]).where(F.col("upto") <= F.col("moves")).groupBy("shard", "to").agg(F.max("grade").alias("last"))
+        granted = F.coalesce(F.col("grade") <= F.col("last"), F.lit(False))
+        moved = durable(
+            asked.join(F.broadcast(last), ["shard", "to"], "left").select("node", F.when(granted, F.col("to")).otherwise(F.col("shard")).alias("shard"))
+        )
         held = {r["shard"]: r["n"] for r in moved.groupBy("shard").agg(F.count("*").alias("n")).collect()}
         state = durable(state.select("node", "link").join(moved, "node"))
     return durable(state.select("node", "shard").distinct())
