@@ -27,13 +27,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in files and rows that follow the mixed order of the sources."""
-    return pfair.in_order(docs)
+    """All documents with their slot and position in the mixed order of the sources, which files and rows follow."""
+    return pfair.in_order(docs, places=True)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source and token ids of every document."""
-    return sp_scan.encoded(docs, sp_scan.load()).select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_ids"))
+    """doc_id, lang, source, place in the mixed order and token ids of every document."""
+    return sp_scan.encoded(docs, sp_scan.load()).select("doc_id", "lang", "source", "slot", "position", "ids", F.size("ids").alias("n_ids"))
 
 
 STAGES = [
@@ -49,9 +49,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows in the mixed order; ``position`` counts them from 0."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = fresh_path(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return docs.orderBy("position")

@@ -151,8 +151,13 @@ def short_blocks(counts: list[int], phases: list[tuple], slots: list[tuple], blo
     return found
 
 
-def in_order(documents: DataFrame, **settings) -> DataFrame:
-    """The documents, all columns, sorted into the mixed order (files in order, rows in order within them)."""
-    packed = documents.select(F.struct("*").alias("whole"), "doc_id", "source", F.xxhash64("text").alias("text"))
+def in_order(documents: DataFrame, places: bool = False, **settings) -> DataFrame:
+    """The documents, all columns, sorted into the mixed order (files in order, rows in order within them).
+
+    With ``places`` their ``slot`` and ``position`` go along, in place of columns of these names, since files and rows may be
+    read again in any order.
+    """
+    rest = [c for c in documents.columns if not (places and c.lower() in ("slot", "position"))]
+    packed = documents.select(F.struct(*rest).alias("whole"), "doc_id", "source", F.xxhash64("text").alias("text"))
     placed = mixed(packed, **settings)
-    return placed.repartitionByRange("position").sortWithinPartitions("position").select("whole.*")
+    return placed.repartitionByRange("position").sortWithinPartitions("position").select("whole.*", *(["slot", "position"] if places else []))
