@@ -3,17 +3,19 @@
 P(token | history) = P(class | history) * P(token | class, history). Both factors are log-linear in hashed features of the
 history: the last word (n-gram), the last two words together (n-gram) and the word before the last (skip). The most
 frequent ``FEATURED`` tokens, in ``HEAD_CLASSES`` classes by rank, have weights for single features; all others are in
-``TAIL_CLASSES`` classes by a hash of their ending, where the token follows from its count alone, unseen ones included, so the
-probabilities of a class sum to one.
+``TAIL_CLASSES`` classes by a hash of their ending. In these, tokens with ``LEAST`` training occurrences or more are leaves of
+a tree of nodes of ``FAN`` children, each a model with weights for all three features; the rest, one more child of the root,
+follow from their counts, unseen ones included, so the probabilities of a class sum to one.
 
 Training. For a log-linear model counts of (history, class) and (feature, token) say all that the texts say, and since features
-are hashed to a fixed number of values these counts have a fixed size. They are summed over all training texts; each
-gradient update is a job over the counts, split by the hash of the last word, with one update on the driver.
+are hashed to a fixed number of values these counts have a fixed size for classes and for the most frequent tokens. They are
+summed over all training texts; each gradient update is a job over the counts, split by the hash of the last word, with one
+update on the driver. Nodes of the trees are independent given the history, so each is fitted in one task, all updates at once.
 
 Scale. Three passes over the texts in Arrow batches: token counts (combined before the shuffle), history counts, scores.
-Tokens that make up at least 1 / ``SHARE`` of all training tokens, which can be no more than ``SHARE``, travel to
-the tasks with their counts; occurrences of rarer ones are joined with the table of counts, which grows with the corpus and
-is never gathered. Scores of a text are sums over arrays, a batch of words at a time.
+The most frequent tokens travel to the tasks with their counts. Occurrences of all others are joined with the table of counts
+and then with the trees' probabilities per (token, history); both grow with the corpus and are never gathered. A node has at
+most ``FAN`` + 1 children and ``LAST`` * ``SKIP`` histories at any corpus size; nodes grow in number with the vocabulary.
 
 Defined cases. A null text is empty: only the end is scored. Without training rows every token has the uniform weight of an
 unseen one. Repeated rows and null ids are rows like any other; other columns are ignored. Ties in frequency are broken by the
@@ -33,14 +35,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallwise.llm.common import text_bytes
-from stallwise.session import durable
+from stallwise.llm.common import gapless, text_bytes
+from stallwise.session import discard, durable
 
-LAST, SKIP, BOTH = 256, 64, 512  # hash values of the three kinds of features; the first of LAST and SKIP is the start
-FEATURED, HEAD_CLASSES, TAIL_CLASSES = 512, 16, 16
+LAST, SKIP, BOTH = 256, 64, 2048  # hash values of the three kinds of features; the first of LAST and SKIP is the start
+FEATURED, HEAD_CLASSES, TAIL_CLASSES = 1024, 32, 16
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 PER_CLASS = FEATURED // HEAD_CLASSES
-SHARE = 1 << 20
+HISTORIES = LAST * SKIP
+LEAST = 256  # training occurrences that give a token of a tail class its own weights
+FAN = 32  # children of a node of a tail class's tree
+REST = FAN  # the root's child for all tokens without own weights
 SMOOTH = 0.1
 END = b"\n"  # no word holds it
 HELD = 300_000  # distinct tokens a task holds before it passes their counts on
@@ -75,7 +80,7 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Frequent tokens by falling count, all training tokens, distinct ones, and the tail classes' totals."""
+    """The ``FEATURED`` most frequent tokens by falling count, all training tokens, distinct ones, and the tail classes' totals."""
 
     tokens: list[bytes]
     counts: np.ndarray
@@ -90,8 +95,7 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    rows = counts.where(F.col("n") * SHARE >= F.lit(total)).select("token", "n").collect()  # at most SHARE rows
-    rows.sort(key=lambda r: (-r["n"], bytes(r["token"])))
+    rows = counts.orderBy(F.desc("n"), "token").select("token", "n").limit(FEATURED).collect()
     tokens, n = [bytes(r["token"]) for r in rows], np.array([r["n"] for r in rows], dtype=np.int64)
     tail = np.full(CLASSES, SMOOTH)
     for row in counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():  # TAIL_CLASSES rows
@@ -207,7 +211,7 @@ class Weights:
         self.parts[4][: known.featured] = np.log(known.counts[: known.featured])
 
     def light(self) -> "Weights":
-        """A copy of half the size for the tasks: under a megabyte, so it travels with them and leaves no files behind."""
+        """A copy of half the size for the tasks."""
         copy = object.__new__(Weights)
         copy.parts = [p.astype(np.float32) for p in self.parts]
         return copy
@@ -224,7 +228,11 @@ class Weights:
 
 def both(last: int) -> np.ndarray:
     """Hash of (last, skip) for every skip."""
-    return ((last * SKIP + np.arange(SKIP)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % BOTH
+    return mixed(last * SKIP + np.arange(SKIP))
+
+
+def mixed(history: np.ndarray) -> np.ndarray:
+    return (history.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % BOTH
 
 
 def log_sum(x: np.ndarray) -> np.ndarray:
@@ -234,9 +242,10 @@ def log_sum(x: np.ndarray) -> np.ndarray:
 
 def gradient(blocks: DataFrame, weights: Weights) -> tuple[list[np.ndarray], float]:
     """Expected minus observed counts by feature, and minus the log-likelihood; each task returns one sum."""
-    weights = weights.light()
+    sent = blocks.sparkSession.sparkContext.broadcast(weights.light())
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = sent.value
         sums, loss = [np.zeros(p.shape) for p in weights.parts], 0.0
         for batch in batches:
             for row in batch.to_pylist():
@@ -272,6 +281,7 @@ def gradient(blocks: DataFrame, weights: Weights) -> tuple[list[np.ndarray], flo
     for part in blocks.coalesce(PARTS).mapInArrow(partial, "sums binary, loss double").collect():  # PARTS rows of fixed size
         flat += np.frombuffer(part["sums"], np.float32)
         loss += part["loss"]
+    sent.destroy()  # its files go with it
     ends = np.cumsum([p.size for p in weights.parts])
     return [x.reshape(p.shape) for x, p in zip(np.split(flat, ends[:-1]), weights.parts)], loss
 
@@ -294,6 +304,7 @@ def trained(blocks: DataFrame, known: Vocabulary, updates: int = 20, rate: float
             pace = rate * (1 - (step - 1) / updates)
             part -= pace * (mean[i] / (1 - 0.8**step)) / (np.sqrt(square[i] / (1 - 0.95**step)) + 1.0)
         weights.parts[4][known.featured :] = -30.0
+    discard(spread)
     return weights
 
 
@@ -315,40 +326,120 @@ def tables(weights: Weights) -> Tables:
     return Tables(*[(x * unit).astype(np.float32) for x in (classes, totals, *weights.parts[4:])])
 
 
+def with_numbers(counts: DataFrame, known: Vocabulary) -> DataFrame:
+    """token, n and, for tokens of tail classes with ``LEAST`` occurrences or more, a number within the class."""
+    heads = counts.sparkSession.createDataFrame([(bytearray(t),) for t in known.tokens[:FEATURED]], "token binary")
+    tail = durable(counts.join(F.broadcast(heads), "token", "left_anti"))
+    own = gapless(tail.where(F.col("n") >= LEAST), "class", [F.col("token")], "number", few_groups=True).select("token", "class", "n", "number")
+    rest = tail.where(F.col("n") < LEAST).withColumn("number", F.lit(-1).cast("long")).select("token", "class", "n", "number")
+    numbers = durable(own.unionByName(rest))
+    discard(tail)
+    return numbers
+
+
+def fitted_node(code: np.ndarray, child: np.ndarray, n: np.ndarray, root: bool, updates: int = 12, rate: float = 0.25, prior: float = 2.0) -> np.ndarray:
+    """log10 P(child | node, history) for every row; learns from the rows' training counts ``n``."""
+    history, at = np.unique(code % HISTORIES, return_inverse=True)
+    seen = np.zeros((len(history), FAN + 1), np.float32)
+    np.add.at(seen, (at, child), n)
+    totals = seen.sum(axis=0, dtype=np.float64)
+    present = np.zeros(FAN + 1, bool)
+    present[child] = True
+    present[REST] |= root
+    bias = np.where(present, np.log(np.maximum(totals, SMOOTH)), -1e30).astype(np.float32)
+    last, skip = np.divmod(history, SKIP)
+    features = []
+    for value in (last, skip, mixed(history)):
+        values, number = np.unique(value, return_inverse=True)
+        order = np.argsort(number, kind="stable")
+        starts = np.searchsorted(number[order], np.arange(len(values)))
+        features.append((number, order, starts))
+    sizes = [FAN + 1] + [(len(f[2]), FAN + 1) for f in features]
+    parts = [bias] + [np.zeros(x, np.float32) for x in sizes[1:]]
+    mean, square = [np.zeros(x, np.float32) for x in sizes], [np.zeros(x, np.float32) for x in sizes]
+
+    def chance() -> np.ndarray:
+        logits = parts[0] + sum(w[f[0]] for w, f in zip(parts[1:], features))
+        return logits - log_sum(logits)
+
+    weight = seen.sum(axis=1, keepdims=True)
+    for step in range(1, updates + 1):
+        off = np.exp(chance()) * weight - seen
+        slopes = [off.sum(axis=0)] + [np.add.reduceat(off[order], starts, axis=0) + prior * w for w, (_, order, starts) in zip(parts[1:], features)]
+        for i, g in enumerate(slopes):
+            mean[i] = 0.8 * mean[i] + 0.2 * g
+            square[i] = 0.95 * square[i] + 0.05 * g * g
+            pace = rate * (1 - (step - 1) / updates)
+            parts[i] = parts[i] - pace * (mean[i] / (1 - 0.8**step)) / (np.sqrt(square[i] / (1 - 0.95**step)) + 1.0)
+    return chance()[at, child].astype(float) * math.log10(math.e)
+
+
+def tree_scores(cells: DataFrame, depth: int) -> DataFrame:
+    """code, number, tree: log10 P(token | tail class, history), for numbers of -1 the probability of the rest.
+
+    Tokens of a class are leaves of a tree by the digits of their number in base ``FAN``. Every node is a model of its own, for
+    at most ``FAN`` + 1 children and ``HISTORIES`` histories, so one task holds it; nodes grow in number with the vocabulary.
+    """
+    import pandas as pd
+
+    up = F.when(F.col("number") < 0, F.lit(-1)).otherwise(F.floor(F.col("number") / F.pow(F.lit(float(FAN)), F.col("level")))).cast("long")
+    levels = F.when(F.col("number") < 0, F.array(F.lit(depth - 1))).otherwise(F.array(*[F.lit(k) for k in range(depth)]))
+    steps = cells.withColumn("level", F.explode(levels)).withColumn("up", up)
+    summed = (
+        steps.groupBy("level", "code", "up").agg(F.sum("n").alias("n"))
+        .withColumn("node", F.when(F.col("up") < 0, F.lit(0)).otherwise(F.floor(F.col("up") / FAN)).cast("long"))
+        .withColumn("class", F.floor(F.col("code") / HISTORIES).cast("int"))
+    )
+
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        up = frame["up"].to_numpy()
+        child = np.where(up < 0, REST, up % FAN)
+        found = fitted_node(frame["code"].to_numpy(), child, frame["n"].to_numpy(), int(frame["level"].iloc[0]) == depth - 1)
+        return pd.DataFrame({"level": frame["level"], "code": frame["code"], "up": up, "p": found})
+
+    chances = durable(summed.groupBy("level", "class", "node").applyInPandas(fit, "level int, code long, up long, p double"))
+    tree = durable(steps.join(chances, ["level", "code", "up"]).groupBy("code", "number").agg(F.sum("p").alias("tree")))
+    discard(chances)
+    return tree
+
+
 def partial_scores(texts: DataFrame, known: Vocabulary, model: Tables) -> DataFrame:
-    """Sums over the tokens whose count is known to the task; rarer tokens with their number of occurrences."""
-    fields = "held_out boolean, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<long>"
+    """Sums over the classes of all tokens and over the most frequent tokens; the other tokens of the text with their
+    history and number of occurrences."""
+    fields = "held_out boolean, n_tokens long, n_known long, base double, score double, rare array<binary>, codes array<long>, times array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(known)
         base_all = math.log10(known.total + SMOOTH * (known.distinct + 1))
         logs = np.log10(known.counts + SMOOTH) if len(known.counts) else np.zeros(1)
-        tails = np.log10(np.maximum(known.tail, SMOOTH))
         for held, numbers, starts in chunks(batches, words, ["doc_id", "held_out"]):
             details = words.details()
             last, skip = histories(numbers, starts, details)
             rank, kind = details[numbers, 0], details[numbers, 1]
             history = last * SKIP + skip
-            # a rare token lacks log10(count + SMOOTH) here; the join adds it
-            log_count = np.where(rank >= 0, logs[np.maximum(rank, 0)], 0.0)
             own = (rank >= 0) & (rank < FEATURED)
-            token = log_count - tails[kind]
+            # all others lack log10(count + SMOOTH) and their part of the score here; joins add it
+            log_count = np.where(own, logs[np.where(own, rank, 0)], 0.0)
+            token = np.zeros(len(numbers))
             f = rank[own]
             token[own] = model.bias[f].astype(float) + model.by_last[last[own], f] + model.by_skip[skip[own], f] - model.totals[history[own], kind[own]]
             lengths = np.diff(np.append(starts, len(numbers)))
-            rare_at = np.flatnonzero(rank < 0)
+            rare_at = np.flatnonzero(~own)
             owner = np.repeat(np.arange(len(starts)), lengths)[rare_at]
-            pairs, times = np.unique(owner * len(words.names) + numbers[rare_at], return_counts=True)
-            owner, names = np.divmod(pairs, max(len(words.names), 1))
+            spread = max(len(words.names), 1)
+            pairs, times = np.unique((owner * HISTORIES + history[rare_at]) * spread + numbers[rare_at], return_counts=True)
+            above, names = np.divmod(pairs, spread)
+            owner, history_of = np.divmod(above, HISTORIES)
+            codes = details[names, 1] * HISTORIES + history_of
             ends = pa.array(np.searchsorted(owner, np.arange(len(starts) + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(held["doc_id"], pa.int64()), pa.array(held["held_out"], pa.bool_()), pa.array(lengths),
-                    pa.array(np.add.reduceat((rank >= 0).astype(np.int64), starts)), pa.array(np.add.reduceat(log_count - base_all, starts)),
+                    pa.array(np.add.reduceat(own.astype(np.int64), starts)), pa.array(np.add.reduceat(log_count - base_all, starts)),
                     pa.array(np.add.reduceat(model.classes[history, kind] + token, starts)),
-                    pa.ListArray.from_arrays(ends, pa.array([words.names[i] for i in names], pa.binary())), pa.ListArray.from_arrays(ends, pa.array(times)),
+                    pa.ListArray.from_arrays(ends, pa.array([words.names[i] for i in names], pa.binary())), pa.ListArray.from_arrays(ends, pa.array(codes, pa.int64())), pa.ListArray.from_arrays(ends, pa.array(times)),
                 ],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "codes", "times"],
             )
 
     return durable(texts.mapInArrow(run, f"doc_id long, {fields}").withColumn("row", F.monotonically_increasing_id()))
@@ -363,17 +454,48 @@ def scored(documents: DataFrame, held_out: Column) -> DataFrame:
     training = texts.where(~F.col("held_out"))
     counts = token_counts(training)
     known = vocabulary(counts)
-    weights = trained(history_counts(training, known), known)
+    blocks = history_counts(training, known)
+    weights = trained(blocks, known)
+    discard(blocks)
     partial = partial_scores(texts, known, tables(weights))
-    rare = partial.where(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("token"), F.col("r.times").alias("times"))
-    looked_up = rare.join(counts.select("token", "n"), "token", "left")
+    numbers = with_numbers(counts, known)
+    discard(counts)
+    pieces = partial.where(F.size("rare") > 0).select("row", "held_out", F.explode(F.arrays_zip("rare", "codes", "times")).alias("r"))
+    pieces = pieces.select("row", "held_out", F.col("r.rare").alias("token"), F.col("r.codes").alias("code"), F.col("r.times").alias("times"))
+    found = durable(pieces.join(numbers.drop("class"), "token", "left").select("row", "held_out", "code", "times", "n", F.coalesce("number", F.lit(-1)).alias("number")))
+    sums = durable(partial.drop("rare", "codes", "times"))
+    discard(partial)
+    own = numbers.where(F.col("number") >= 0)
+    depth = tree_depth(own.agg(F.max("number")).first()[0])
+    rest = known.tail.copy()
+    for row in own.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():  # TAIL_CLASSES rows
+        rest[row["class"]] -= row["n"] + SMOOTH * row["types"]
+    discard(numbers)
+    logs = F.array(*[F.lit(float(x)) for x in np.log10(np.maximum(rest, SMOOTH))])
+    count = F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))
+    if depth:
+        cells = durable(found.groupBy("code", "number").agg(F.sum(F.when(F.col("held_out"), 0).otherwise(F.col("times"))).alias("n")))
+        tree = tree_scores(cells, depth)
+        discard(cells)
+        looked_up = found.join(tree, ["code", "number"])
+    else:
+        looked_up = found.withColumn("tree", F.lit(0.0))
+    within = F.when(F.col("number") >= 0, F.lit(0.0)).otherwise(count - F.element_at(logs, F.floor(F.col("code") / HISTORIES).cast("int") + 1))
     added = looked_up.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))).alias("more"),
+        F.sum(F.col("times") * count).alias("more"), F.sum(F.col("times") * (F.col("tree") + within)).alias("token_score"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("known"),
     )
-    return partial.drop("rare", "times").join(added, "row", "left").select(
+    return sums.join(added, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(known.total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
+        (F.col("score") + F.coalesce("token_score", F.lit(0.0))).alias("score"),
     )
+
+
+def tree_depth(largest: int | None) -> int:
+    """Levels of a tree whose leaves are numbered up to ``largest``."""
+    depth = 0 if largest is None else 1
+    while depth and largest >= FAN**depth:
+        depth += 1
+    return depth
