@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import block_ann, jaccard_tgm, langid_ftrl, maxent, pfair, quality_mcd, quotes, revisits, sharding_lp, sp_scan
+from stallwise.llm import (
+    block_ann, html_mincut, jaccard_tgm, langid_ftrl, maxent, pfair, quality_mcd, quotes, repair_cyk, revisits, sharding_lp, sp_scan, whitening_qr,
+)
 from stallwise.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,7 +155,8 @@ with recursive firsts as (
     left join firsts b on b.conv_id = c.conv_id and b.turn = c.turn - 2
 ), lines as (
   select conv_id, turn, role, i, line, length(regexp_replace(regexp_extract(line, '^(( ?>)+) ?', 1), '[^>]', '', 'g')) as level,
-    lower(trim(regexp_replace(regexp_replace(line, '^(( ?>)+) ?', ''), '[ 	]+', ' ', 'g'))) as said
+    lower(trim(regexp_replace(regexp_replace(line, '^(( ?>)+) ?', ''), '[ 	
+]+', ' ', 'g'))) as said
   from (select conv_id, turn, role, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from mail)
 ), own as (select distinct conv_id, turn, said from lines where level = 0 and said <> ''
 ), found as (
@@ -237,3 +240,93 @@ with v as (
 )
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
+
+
+@query
+def op11_minimum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_mincut.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns with faults by their checksum: dropped (marked ``gone``), emptied, without stops, repeated, or said by the user."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"))
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    kind = F.col("kind")
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.sequence(F.lit(1), F.when(kind == 3, 2).otherwise(1))
+    return rows.withColumn("kind", F.crc32(name.cast("binary")) % 20).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), (kind == 0).alias("gone"), F.explode(copies).alias("copy"))
+
+
+@query
+def op12_interval_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_cyk.with_digests(damaged(spark, sf_dir), F.col("gone"))
+
+
+ORACLES["op12_interval_parsing"] = r"""
+with recursive crc_table as (
+  select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+    xor(c >> 1, case when c & 1 = 1 then 3988292384::bigint else 0 end))) as t
+), named as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as name
+  from conversations
+), marked as (
+  select n.*, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(name, ''), lambda x: ascii(x)::bigint)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::bigint) % 20 as kind
+  from named n, crc_table
+), damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, copy
+  from (select *, unnest(case when kind = 3 then [1, 2] else [1] end) as copy from marked where kind <> 0)
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, sha256(length(role) || ':' || role || text), copy) as i,
+    rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') as said
+  from damaged
+), judged as (
+  select *, case when said = '' then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+    when right(said, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+    lag(left(role, 1)) over (partition by conv_id order by i) as before
+  from placed
+), counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (i > 1 and before || left(role, 1) not in ('su', 'ua', 'au')) as illegal, max(i) as n
+  from judged group by conv_id
+), closure(p, q, cost, audit, said) as (
+  values (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []), (0, 2, 3, 'I', ['user:']), (1, 2, 3, 'I', ['user:']),
+    (3, 2, 3, 'I', ['user:']), (2, 3, 3, 'I', ['assistant:']), (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 3, 6, 'II', ['user:', 'assistant:'])
+), edits as (
+  select j.conv_id, j.i, c.p, e.q, c.cost + e.cost as cost, c.audit || e.edit as audit, list_concat(c.said, e.said) as said
+  from judged j, closure c, lateral (
+    select c.q as q, 4 as cost, 'D' as edit, []::varchar[] as said
+    union all
+    select case left(j.role, 1) when 's' then 1 when 'u' then 2 else 3 end, case j.fault when 'truncated' then 3 else 0 end, 'K', [j.role || ':' || j.text]
+    where j.fault not in ('blank', 'duplicate') and ((c.q = 0 and left(j.role, 1) = 's') or (c.q in (0, 1, 3) and left(j.role, 1) = 'u') or (c.q = 2 and left(j.role, 1) = 'a'))
+    union all
+    select case c.q when 2 then 3 else 2 end, case j.fault when 'truncated' then 6 else 3 end, 'R', [case c.q when 2 then 'assistant:' else 'user:' end || j.text]
+    where j.fault not in ('blank', 'duplicate')
+  ) e
+), walk as (
+  select distinct conv_id, 0::bigint as i, 0 as state, 0 as cost, '' as audit, []::varchar[] as said from judged
+  union all
+  select conv_id, i, state, best.cost, best.audit, best.said from (
+    select w.conv_id, e.i, e.q as state, min({'cost': w.cost + e.cost, 'audit': w.audit || e.audit, 'said': list_concat(w.said, e.said)}) as best
+    from walk w join edits e on e.conv_id is not distinct from w.conv_id and e.i = w.i + 1 and e.p = w.state
+    group by w.conv_id, e.i, e.q
+  )
+), ended as (
+  select c.conv_id, min({'cost': w.cost + k.cost, 'audit': w.audit || k.audit, 'said': list_concat(w.said, k.said)}) as best
+  from counted c join walk w on w.conv_id is not distinct from c.conv_id and w.i = c.n join closure k on k.p = w.state and k.q in (0, 3)
+  group by c.conv_id
+), every as (select distinct conv_id from conversations)
+select a.conv_id, coalesce(c.gaps, 0)::bigint as gaps, coalesce(c.blank, 0)::bigint as blank, coalesce(c.duplicate, 0)::bigint as duplicate,
+  coalesce(c.truncated, 0)::bigint as truncated, coalesce(c.illegal, 0)::bigint as illegal, coalesce(e.best.cost, 0)::bigint as cost,
+  coalesce(e.best.audit, '') as audit, sha256(coalesce(array_to_string(e.best.said, chr(10)), '')) as repaired_sha256
+from every a left join counted c on c.conv_id is not distinct from a.conv_id left join ended e on e.conv_id is not distinct from a.conv_id
+"""
+
+
+@query
+def op13_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_qr.components(table(spark, sf_dir, "embeddings"), most=8)

@@ -17,13 +17,13 @@ def con():
 
 def test_all_are_registered():
     queries = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in queries) == 1
     assert queries["pipeline"] is corpus_pipeline.run
-    assert {n for n in entry.oracle_sql() if n.startswith("op")} == {"op5_revisit_resolution", "op7_quotation_linking", "op9_token_group_join", "op10_block_matrix_join"}
+    assert {n for n in entry.oracle_sql() if n.startswith("op")} == {"op5_revisit_resolution", "op7_quotation_linking", "op9_token_group_join", "op10_block_matrix_join", "op12_interval_parsing"}
 
 
-@pytest.mark.parametrize("name", ["op5_revisit_resolution", "op7_quotation_linking", "op9_token_group_join", "op10_block_matrix_join"])
+@pytest.mark.parametrize("name", ["op5_revisit_resolution", "op7_quotation_linking", "op9_token_group_join", "op10_block_matrix_join", "op12_interval_parsing"])
 def test_equals_oracle(spark, con, name):
     assert difference(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) is None
 
