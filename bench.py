@@ -62,7 +62,7 @@ def main() -> None:
 
     root = fresh_path(spark, "marts")
     with timed("build_and_test"):
-        tables = build.build(raw, root)
+        tables = build.build(raw, root, splits.cut(registry.AS_OF))
         predictions = registry.Data(spark, sf_dir).predictions
         tables["fct_predictions"] = sinks.overwrite(
             features.fct_predictions(predictions, tables["fact_orders"]), f"{root}/fct_predictions"
@@ -98,7 +98,7 @@ def main() -> None:
     active = registry.Data(spark, sf_dir).registry
     with timed("monitor"):
         report = runs.monitor(
-            bridge, exported, active, lambda name: spark.read.parquet(f"{root}/{name}"), f"{root}/reports",
+            bridge, exported, active, lambda name: sinks.table(spark, f"{root}/{name}"), f"{root}/reports",
             F.current_timestamp(),
         )
 

@@ -1,14 +1,15 @@
 """The whole build: raw tables to staging, marts, metrics and features.
 
 When a path is given every layer is stored: the marts, the features and the quality suite each read staging and
-intermediate tables again. Without a path all stays lazy.
+intermediate tables again. The quality contract's counts of a table are observed as it is written. Without a path all stays lazy.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
-from stallwise.plans import features, marts, metrics, staging
+from stallwise.plans import features, marts, metrics, quality, staging
 from stallwise.sources import sinks
 
 STAGING = {
@@ -57,14 +58,32 @@ def order_core(stg: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def build(raw: dict[str, DataFrame], path: str | None = None) -> dict[str, DataFrame]:
-    """All datasets by name; stored under ``path`` when given, lazy otherwise."""
+class Tables(dict):
+    """Datasets by name, and what the quality contract counts in them, observed while they were written."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.observed: dict[str, dict[str, object]] = {}
+
+
+def build(raw: dict[str, DataFrame], path: str | None = None, as_of: Column | None = None) -> Tables:
+    """All datasets by name; stored under ``path`` when given, lazy otherwise. ``as_of`` is the time for the check on the future."""
+    tables = Tables()
+    counted = quality.declared(quality.Unplanned(), F.current_timestamp() if as_of is None else as_of) if path else None
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        return sinks.materialize(df, path and f"{path}/{name}")
+        if path is None:
+            return df
+        counts = counted.pass_columns(name)
+        if not counts:
+            return sinks.overwrite(df, f"{path}/{name}")
+        seen = Observation(f"quality of {name}")
+        stored = sinks.overwrite(df.observe(seen, *counts), f"{path}/{name}")
+        tables.observed[name] = seen.get
+        return stored
 
     stg = {name: keep(name, df) for name, df in stage(raw).items()}
-    tables = {**stg, **{name: keep(name, df) for name, df in intermediate(stg).items()}}
+    tables.update({**stg, **{name: keep(name, df) for name, df in intermediate(stg).items()}})
     tables["dim_customers"] = keep("dim_customers", marts.dim_customers(stg["stg_customers"]))
     tables["dim_sellers"] = keep("dim_sellers", marts.dim_sellers(stg["stg_sellers"]))
     tables["dim_products"] = keep("dim_products", marts.dim_products(stg["stg_products"]))

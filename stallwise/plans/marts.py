@@ -19,7 +19,7 @@ from stallwise.functions import columns as fn
 def payments_aggregated(payments: DataFrame) -> DataFrame:
     """One row per order; the distinct types are collected once for both their count and their list."""
     per_order = payments.groupBy("order_id").agg(
-        ag.sum_amount(F.col("payment_value")).alias("total_payment_value"),
+        ag.sum_amount("payment_value").alias("total_payment_value"),
         F.max("payment_installments").alias("payment_installments_max"),
         F.sort_array(F.collect_set("payment_type")).alias("types"),
         F.count("*").alias("payment_count"),
@@ -102,7 +102,7 @@ def item_rollup(items: DataFrame) -> DataFrame:
 def rollup_aggregates() -> list:
     return [
         F.count("*").alias("item_count"),
-        ag.sum_amount(F.col("freight_value")).alias("total_freight_value"),
+        ag.sum_amount("freight_value").alias("total_freight_value"),
     ]
 
 

@@ -33,7 +33,7 @@ def delay_eligible(core: DataFrame) -> DataFrame:
 
 
 def paid():
-    return ag.sum_amount(F.coalesce("total_payment_value", F.lit(0.0)))
+    return ag.sum_amount("coalesce(total_payment_value, 0.0D)")
 
 
 def met_daily_gmv(core: DataFrame) -> DataFrame:

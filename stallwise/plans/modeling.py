@@ -15,7 +15,7 @@ from stallwise import contract
 from stallwise.functions import columns as fn
 from stallwise.operators import classification, drift, splits
 from stallwise.plans.features import coerce_features, validate_columns
-from stallwise.session import fresh_path
+from stallwise.session import durable, fresh_path
 from stallwise.sources import sinks
 
 POOLED = "infrequent"
@@ -88,7 +88,8 @@ def category_vocabulary(
     With fewer than ``max_outputs`` categories each has its own slot, in name order. Otherwise the most
     frequent ``max_outputs - 1`` keep one, later names first on a tie, and the rest share the last slot.
     """
-    counts = (
+    # stored once: ranking, sizes and the table itself read them
+    counts = durable(
         drift.long_values(
             train, features, lambda c: fn.default_if_null(c.cast("string"), contract.MISSING_CATEGORY)
         )
@@ -151,32 +152,52 @@ class DelayModel:
         return encode(features, self.numeric, self.labels, self.vocabulary)
 
 
+# Rows of one category outside the kept ones meet its vocabulary row in so many tasks.
+SPREAD = 16
+
+
 def encode(
     features: DataFrame,
     numeric: dict[str, tuple[float, float, float]],
     labels: dict[str, list[str]],
     vocabulary: DataFrame,
 ) -> DataFrame:
-    """Adds scaled numbers and one-hot slots. A category not seen in training gets the slot that is dropped."""
+    """Adds scaled numbers and one-hot slots. A category not seen in training gets the slot that is dropped.
+
+    Kept categories are looked up in a literal map of at most 40 entries. Only where the last slot is shared do the
+    others have to be told from unseen ones, by a join with their vocabulary; rows of kept categories take part in it with
+    keys of their own that meet nothing, and those of one other category are spread over ``SPREAD`` keys, so no key is hot.
+    """
     df = coerce_features(validate_columns(features))
     df = df.withColumns({f"_n_{c}": standardized(F.col(c), *numeric[c]) for c in contract.NUMERIC_FEATURES})
+    spread = F.xxhash64(*[F.col(f"_n_{c}") for c in contract.NUMERIC_FEATURES], "order_id")
     for c in contract.CATEGORICAL_FEATURES:
-        lookup = vocabulary.where(F.col("feature") == c).select(
-            F.col("category").alias(c), F.col("slot").alias("_slot")
-        )
         unseen = len(labels[c])
         attribute = {"ml_attr": {"type": "nominal", "name": c, "vals": [*labels[c], "(unseen)"]}}
-        df = (
-            df.join(lookup, c, "left")
-            .withColumn(
-                f"_c_{c}",
-                F.coalesce("_slot", F.lit(unseen)).cast("double").alias(f"_c_{c}", metadata=attribute),
+        shared = unseen == contract.MAX_CATEGORIES
+        kept = labels[c][:-1] if shared else labels[c]
+        slot = F.try_element_at(literal_map(kept), F.col(c))
+        if shared:
+            others = (
+                vocabulary.where((F.col("feature") == c) & (F.col("slot") == unseen - 1))
+                .select(F.col("category").alias("_other"), F.explode(F.expr(f"sequence(0L, {SPREAD - 1}L)")).alias("_part"))
             )
-            .drop("_slot")
-        )
+            df = df.withColumns({"_slot": slot, "_key": F.when(slot.isNull(), F.col(c)).otherwise(F.lit("")),
+                                 "_lane": F.when(slot.isNull(), F.pmod(spread, F.lit(SPREAD))).otherwise(-1 - F.pmod(spread, F.lit(2**40)))})
+            df = df.join(others, (F.col("_key") == F.col("_other")) & (F.col("_lane") == F.col("_part")), "left")
+            slot = F.coalesce("_slot", F.when(F.col("_other").isNotNull(), F.lit(unseen - 1)))
+        encoded = F.coalesce(slot, F.lit(unseen)).cast("double").alias(f"_c_{c}", metadata=attribute)
+        df = df.withColumn(f"_c_{c}", encoded).drop("_slot", "_key", "_lane", "_other", "_part")
     return df
 
 
+def literal_map(categories: list[str]) -> Column:
+    """Category to its place, as a literal."""
+    if not categories:
+        return F.lit(None).cast("map<string,int>")
+    return F.create_map(*[part for i, name in enumerate(categories) for part in (F.lit(name), F.lit(i))])
+
+
 def fit(train: DataFrame, version: str, max_iter: int = contract.MAX_ITERATIONS) -> DelayModel:
     """L2 logistic regression with unit strength on the summed loss, intercept free.
 
@@ -209,6 +230,8 @@ def fit(train: DataFrame, version: str, max_iter: int = contract.MAX_ITERATIONS)
         ]
     )
     stages = pipeline.fit(encoded.withColumn("_label", F.col(contract.LABEL).cast("double")))
+    # the training summary holds on to the session, which tasks could not carry once anything was observed in it
+    stages.stages[-1]._java_obj.setSummary(spark._jvm.scala.Option.empty())
     return DelayModel(version, statistics, labels, vocabulary, stages, rows)
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallwise import contract
@@ -91,11 +92,13 @@ def retrain(
     test_start: str,
     state: str | None = None,
     force: bool = False,
+    champion_path: str | None = None,
 ) -> Retraining:
     """Triggers, longer training range, challenger, comparison on the same test slice, promotion.
 
     ``registry`` is the active model's row, or empty. Without an active model the challenger is promoted.
-    Training and test slices have to have rows; a validation slice may be empty.
+    Training and test slices have to have rows; a validation slice may be empty. The active model lies under
+    ``champion_path`` if that differs from ``models_path``, where the challenger is saved.
     """
     reasons = [row["reason"] for row in decide(report, registry, today, state, force).collect()]
     if not reasons:
@@ -107,7 +110,7 @@ def retrain(
     splits.require_splits(split, (splits.TRAIN, splits.TEST))
     active = registry.first()
     version = registry.select(retraining.next_version(F.col("version"))).first()[0] if active else FIRST_VERSION
-    train = sinks.overwrite(split.where(F.col("split") == splits.TRAIN), f"{models_path}/train_{version}")
+    train = sinks.snapshot(split.where(F.col("split") == splits.TRAIN), f"{models_path}/train_{version}")
     challenger = modeling.fit(train, version)
     modeling.save(challenger, models_path)
     held_out = split.where(F.col("split") != splits.TRAIN)
@@ -117,7 +120,7 @@ def retrain(
     if active is None:
         row = retraining.registry_row(version, today, extended_end, test_start, sizes, quality)
         return Retraining(reasons, True, with_files(row, models_path))
-    champion = modeling.load(spark, models_path, active["version"])
+    champion = modeling.load(spark, champion_path or models_path, active["version"])
     test = split.where(F.col("split") == splits.TEST)
     both = retraining.pair_scores(modeling.labelled_scores(champion, test), scores.where(F.col("split") == splits.TEST))
     comparison = sinks.overwrite(retraining.compare_models(both), fresh_path(spark, "comparison"))
@@ -126,3 +129,48 @@ def retrain(
     metrics = validation.agg(*[F.max(m).alias(m) for m in retraining.METRICS])
     row = retraining.promote_registry(registry, comparison, sizes, metrics, today, extended_end)
     return Retraining(reasons, comparison.first()["promoted"], with_files(row, models_path), comparison)
+
+
+def registry_state(spark: SparkSession, registry_path: str, empty: DataFrame) -> tuple[DataFrame, int]:
+    """The active model's row (none before the first promotion) and the revision of the registry it was read from."""
+    revision = sinks.revision(spark, registry_path)
+    if revision == 0:
+        return empty.limit(0), 0
+    rows = sinks.table(spark, registry_path)
+    return rows.orderBy(F.col("registered_as").desc()).limit(1).drop("registered_as"), revision
+
+
+def register(row: DataFrame, registry_path: str, expected: int) -> DataFrame:
+    """Adds the active model's row. The registry must still be at the revision that the run began with; if another run
+    has promoted a model since, ``sinks.ReplacedMeanwhile`` is raised and the registry stays as that run left it."""
+    spark = row.sparkSession
+    numbered = row.withColumn("registered_as", F.lit(expected + 1).cast("bigint"))
+    if expected:
+        numbered = sinks.table(spark, registry_path).unionByName(numbered)
+    return sinks.overwrite(numbered, registry_path, expected)
+
+
+def retrain_registered(
+    features: DataFrame,
+    registry_path: str,
+    empty: DataFrame,
+    report: DataFrame,
+    models_path: str,
+    today: Column,
+    extended_end: str,
+    test_start: str,
+    state: str | None = None,
+    force: bool = False,
+) -> Retraining:
+    """``retrain`` from and to a stored registry, of which ``empty`` has the columns. Of runs that begin with the same
+    registry one promotes its model; the others fail with a message. Every run saves its model in a folder of its own."""
+    spark = features.sparkSession
+    active, revision = registry_state(spark, registry_path, empty)
+    row = active.select("path").first()
+    champion = row["path"].rsplit("/", 1)[0] if row else None
+    own = f"{models_path.rstrip('/')}/run-{uuid.uuid4().hex}"
+    done = retrain(features, active, report, own, today, extended_end, test_start, state, force, champion)
+    if not done.promoted:
+        return Retraining(done.reasons, False, active, done.comparison)
+    register(done.registry, registry_path, revision)
+    return Retraining(done.reasons, True, registry_state(spark, registry_path, empty)[0], done.comparison)

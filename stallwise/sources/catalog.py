@@ -6,7 +6,7 @@ import os
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -31,7 +31,7 @@ RAW_SCHEMAS = {
     "geolocation": """geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double,
         geolocation_city string, geolocation_state string""",
 }
-# Free text that may hold line breaks. Such a file cannot be split, so the option is set only where needed.
+# Free text that may hold line breaks. Finding its records takes a second look at the lines, so only where needed.
 MULTI_LINE = {"order_reviews"}
 ROOT_VARIABLE = "STALLWISE_DATA_ROOT"
 
@@ -54,16 +54,69 @@ class Source:
         raise ValueError(f"source {self.name}: unsupported format {self.format}")
 
 
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
+
 def scan_csv(spark: SparkSession, path: str, schema: str | StructType, multi_line: bool = False) -> DataFrame:
     """Header row, doubled quotes; ``multi_line`` for quoted text that contains line breaks."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    if multi_line:
+        return scan_records(spark, path, schema)
+    return spark.read.schema(schema).option("header", True).options(**CSV_OPTIONS).csv(path)
+
+
+def csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, block, line, at, cr, odd: the lines of every byte range in their order, and whether they end
+    with a carriage return and whether their quotes are odd in number.
+
+    A byte range of a file is read by one task from its beginning, so numbers given there follow the order of its lines.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+    numbered = lines.withColumn("at", F.monotonically_increasing_id()).withColumn("cr", F.endswith("line", F.lit("\r")))
+    return numbered.withColumn("odd", (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))) % 2)
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """file, record, text: the records of CSV files whose quoted fields may hold line breaks, header records included.
+
+    A line begins a record if the quotes before it in its file are even in number. Byte ranges are read by tasks of their own:
+    quotes are counted per range, a running sum of their parities over the ranges of a file tells with which parity a
+    range begins, and a range has counted its record starts for either parity, so records are numbered through the file.
+    Only records of several lines are brought together. Fields that hold a quote have to be quoted themselves, with
+    inner quotes doubled; a quoted field that never ends takes the rest of its file into its record.
+    """
+    lines = csv_lines(spark, path)
+    upto = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("before", F.coalesce(F.sum("odd").over(upto), F.lit(0)) % 2)
+
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # the text itself stays out of this pass
+    ranges = counted(lines.select("file", "block", "at", "cr", "odd")).groupBy("file", "block").agg(
+        F.sum("odd").alias("odd"), F.min_by("cr", "at").alias("cr"), F.count_if(F.col("before") == 0).alias("starts_even"), F.count_if(F.col("before") == 1).alias("starts_odd"))
+    ranges = ranges.withColumn("inside", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
+    starts = F.when(F.col("inside") == 0, F.col("starts_even")).otherwise(F.col("starts_odd"))
+    ends = F.first("cr").over(Window.partitionBy("file").orderBy("block"))
+    ranges = ranges.withColumn("starts", starts).select("file", "block", "inside", ends.alias("crlf"), F.coalesce(F.sum("starts").over(earlier), F.lit(0)).alias("first"))
+    placed = counted(lines).join(ranges, ["file", "block"])
+    is_start = (F.col("before") + F.col("inside")) % 2 == 0
+    through = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = placed.withColumn("start", is_start).withColumn("record", F.col("first") + F.sum(F.col("start").cast("bigint")).over(through) - 1)
+    alone = F.col("start") & (F.col("odd") == 0)
+    parts = numbered.where(~alone).groupBy("file", "record").agg(F.first("crlf").alias("crlf"), F.sort_array(F.collect_list(F.struct("block", "at", "line"))).alias("parts"))
+    several = parts.select("file", "record", "crlf", F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("text"))
+    every = numbered.where(alone).select("file", "record", "crlf", F.col("line").alias("text")).unionByName(several)
+    # as the plain reader does: where the first line of a file ends with CR LF, line breaks in its fields become LF
+    text = F.when(F.col("crlf"), F.regexp_replace(F.replace("text", F.lit("\r\n"), F.lit("\n")), r"\r$", "")).otherwise(F.col("text"))
+    return every.select("file", "record", text.alias("text"))
+
+
+def scan_records(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """CSV with line breaks in quoted fields, each file read by as many tasks as it has splits."""
+    rows = csv_records(spark, path).where("record > 0 and text <> ''").select("text")
+    ddl = schema.simpleString() if isinstance(schema, StructType) else schema
+    return rows.select(F.from_csv("text", ddl, CSV_OPTIONS).alias("row")).select("row.*")
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from stallwise import contract
 from stallwise.operators import splits
 from stallwise.plans import modeling
+from stallwise.session import durable
 
 NUMBERS, TEXTS = contract.NUMERIC_FEATURES, contract.CATEGORICAL_FEATURES
 
@@ -124,3 +125,43 @@ def test_top_coefficients(fitted):
     sizes = [abs(r["coefficient"]) for r in rows]
     assert len(rows) == 5 and sizes == sorted(sizes, reverse=True)
     assert len(model.input_names()) == len(model.classifier.coefficients)
+
+
+def many_categories(n, seed=3):
+    """One state has nearly all rows; the first feature has thousands of categories, so its last slot is shared."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        numbers = [float(np.round(rng.normal(), 3)) for _ in NUMBERS]
+        texts = [f"p{int(rng.integers(0, 3000))}" if i % 3 else "p-most", "SP" if i % 50 else "RJ", f"s{i % 5}"]
+        rows.append((i, *numbers, *texts, int(i % 4 == 0)))
+    return rows
+
+
+def test_hot_state_and_a_vocabulary_beyond_broadcast(spark):
+    rows = many_categories(6000)
+    train = spark.createDataFrame(rows, SCHEMA)
+    vocabulary = durable(modeling.category_vocabulary(train))
+    labels = modeling.slot_labels(vocabulary)
+    assert len(labels[TEXTS[0]]) == contract.MAX_CATEGORIES and labels[TEXTS[1]] == ["RJ", "SP"]
+    slots = {(r["feature"], r["category"]): r["slot"] for r in vocabulary.collect()}
+    seen = rows[:3000] + [(9000 + i, *rows[0][1:14], "p-unseen", "XX", None, None) for i in range(3000)]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, setting in settings.items():
+        spark.conf.set(name, setting)
+    try:
+        numeric = {c: (0.0, 0.0, 1.0) for c in NUMBERS}
+        encoded = modeling.encode(spark.createDataFrame(seen, SCHEMA).repartition(4), numeric, labels, vocabulary)
+        plan = encoded._jdf.queryExecution().optimizedPlan().toString()
+        got = encoded.select("order_id", *[f"_c_{c}" for c in TEXTS]).collect()
+        sizes = [r["n"] for r in encoded.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        for name, setting in before.items():
+            spark.conf.set(name, setting)
+    assert plan.count("Join LeftOuter") == sum(len(labels[c]) == contract.MAX_CATEGORIES for c in TEXTS) == 1  # no join for states
+    texts = {r[0]: r[1 + len(NUMBERS) : -1] for r in seen}
+    for row in got:
+        for c, value in zip(TEXTS, texts[row["order_id"]]):
+            assert row[f"_c_{c}"] == slots.get((c, value or "missing"), len(labels[c]))
+    assert len(got) == 6000 and max(sizes) < 0.5 * 6000
