@@ -37,7 +37,7 @@ UNIT = 1000  # vectors are whole thousandths
 LIMIT = 16  # and lie within +-LIMIT
 STATISTICS = ["log_words", "log_word_length", "symbol_rate", "upper_rate", "dup_line_rate", "repeat_rate"]
 # Noise added to the standard deviation of a statistic: one repeated line or a single symbol is no outlier.
-FLOOR = [0.10, 0.02, 0.03, 0.03, 0.15, 0.12]
+FLOOR = [0.10, 0.02, 0.03, 0.03, 0.15, 0.11]
 SIZE = len(STATISTICS)
 PAIRS = [(i, j) for i in range(SIZE) for j in range(i, SIZE)]
 BINS_PER_OCTAVE = 16
@@ -96,15 +96,15 @@ def measured(batch: pa.RecordBatch) -> dict[str, pa.Array]:
     n_words, chars, symbols, dup_lines, repeats, lines, upper = counts.T.astype(float)
     words, chars = np.maximum(n_words, 1), np.maximum(chars, 1)
     vectors = [np.log(words), np.log(chars / words), np.sqrt(symbols / chars), np.sqrt(upper / chars), np.sqrt(dup_lines / np.maximum(lines, 1)), np.sqrt(repeats / words)]
-    out = {name: batch.column(name) for name in ("doc_id", "lang", "source")}
+    out = {name: batch.column(name) for name in ("doc_id", "lang", "source", "digest")}
     out |= {name: pa.array(counts[:, i]) for i, name in enumerate(COUNTS)}
     return out | {f"x{i}": pa.array(np.clip(np.rint(v * UNIT), -LIMIT * UNIT, LIMIT * UNIT).astype(np.int64)) for i, v in enumerate(vectors)}
 
 
 def text_statistics(documents: DataFrame) -> DataFrame:
-    """doc_id, lang, source, the five counts, base_failed, and the vector x0..x5 in thousandths."""
-    schema = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in [*COUNTS, *[f"x{i}" for i in range(SIZE)]])
-    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
+    """doc_id, lang, source, a digest of the text, the five counts, base_failed, and the vector x0..x5 in thousandths."""
+    schema = "doc_id long, lang string, source string, digest long, " + ", ".join(f"{c} long" for c in [*COUNTS, *[f"x{i}" for i in range(SIZE)]])
+    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("digest"))
     return map_batches(narrow, measured, schema).withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     )
@@ -219,12 +219,13 @@ def minimum_covariance(vectors: DataFrame, support: float = 0.75, steps: int = 6
     return with_scale(vectors, reweighted)[0]
 
 
-def outliers(documents: DataFrame, cutoff: float = 60.0, support: float = 0.75, steps: int = 6, min_rows: int = 100) -> DataFrame:
-    """Statistics of every text, ``distance`` (null without an estimate) and ``kept``; nothing is dropped.
+# Squared distance beyond which a text is rejected: one in a million of normal vectors. Floors are small enough for each
+# statistic to pass it alone: all lines repeated add 1 / 0.15^2 = 44, half the words repeated 0.5 / 0.11^2 = 41.
+CUTOFF = chi_square(1 - 1e-6)
 
-    ``cutoff``: squared distance beyond which a text is rejected. For normal vectors of six statistics 60 is
-    exceeded by one in 10^10; text statistics have heavier tails, so the default is that wide.
-    """
+
+def outliers(documents: DataFrame, cutoff: float = CUTOFF, support: float = 0.75, steps: int = 6, min_rows: int = 100) -> DataFrame:
+    """Statistics of every text, ``distance`` (null without an estimate) and ``kept``; nothing is dropped."""
     stored = durable(text_statistics(documents))
     keys = durable(group_keys(stored, min_rows))
     tagged = stored.join(keys.withColumnsRenamed({"lang": "_lang", "source": "_source"}), F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left").drop("_lang", "_source")
@@ -233,7 +234,7 @@ def outliers(documents: DataFrame, cutoff: float = 60.0, support: float = 0.75,
     parameters = minimum_covariance(durable(vectors.join(enough, "group", "left_semi")), support, steps)
     judged = tagged.join(parameters, "group", "left").withColumn("distance", F.when(F.col("centre").isNotNull(), distance()))
     return judged.select(
-        "doc_id", "lang", "source", *COUNTS, "base_failed",
+        "doc_id", "lang", "source", "digest", *COUNTS, "base_failed",
         "distance", (~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff)).alias("kept"),
     )
 
@@ -241,7 +242,13 @@ def outliers(documents: DataFrame, cutoff: float = 60.0, support: float = 0.75,
 def filtered(documents: DataFrame, **settings) -> DataFrame:
     """The documents that ``outliers`` keeps, with all their columns.
 
-    Rows are matched by id; where an id is null or occurs on several rows, a row stays if any row of that id is kept.
+    Rows are matched by id, language, source and a digest of the text, null to null; rows that are equal in these have the
+    same verdict, so repeated and missing ids do no harm.
     """
-    kept = outliers(documents, **settings).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return documents.join(kept, documents["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
+    keys = {"_id": F.col("doc_id").cast("long"), "_lang": F.col("lang").cast("string"), "_source": F.col("source").cast("string"), "_digest": F.xxhash64(F.col("text").cast("string"))}
+    kept = outliers(documents, **settings).where("kept").select(F.col("doc_id").alias("k_id"), F.col("lang").alias("k_lang"), F.col("source").alias("k_source"), F.col("digest").alias("k_digest")).distinct()
+    packed = documents.select(F.struct("*").alias("document"), *[value.alias(name) for name, value in keys.items()])
+    condition = F.col("_digest") == F.col("k_digest")
+    for name in ("id", "lang", "source"):
+        condition = condition & F.col(f"_{name}").eqNullSafe(F.col(f"k_{name}"))
+    return packed.join(kept, condition, "left_semi").select("document.*")

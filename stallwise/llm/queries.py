@@ -226,16 +226,16 @@ def op10_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op10_block_matrix_join"] = """
 with v as (
-  select vec_id, embedding::double[] as e from embeddings
+  select row_number() over () as number, vec_id, embedding::double[] as e from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
     and len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), scored as (
-  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e) as score
-  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e)
+  select q.number, q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e) as score
+  from v q join v c on q.number <> c.number and len(q.e) = len(c.e)
   where q.vec_id % 20 = 0
 ), ranked as (
-  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score
+  select query_id, cast(row_number() over (partition by number order by score desc, vec_id) as int) as rank, vec_id, score
   from scored
 )
 select query_id, rank, vec_id, score from ranked where rank <= 20

@@ -15,17 +15,17 @@ def dot(v, w):
 
 
 def brute(rows, k, step):
-    good = {}
+    good = []
     for i, v in rows:
         if i is None or not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
             continue
-        good[i] = min(good.get(i, v), v)
-    out = {}
-    for q, v in good.items():
+        good.append((i, v))
+    out = []
+    for at, (q, v) in enumerate(good):
         if q % step == 0:
-            near = sorted(((-dot(v, w), i) for i, w in good.items() if i != q and len(w) == len(v)))
-            out[q] = [(i, -s) for s, i in near[:k]]
-    return {q: n for q, n in out.items() if n}
+            near = sorted((-dot(v, w), i) for j, (i, w) in enumerate(good) if j != at and len(w) == len(v))
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(near[:k], 1)]
+    return sorted(out)
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +34,7 @@ def rows():
     made = [(i, rng.normal(size=6).astype(np.float32).astype(float).tolist()) for i in range(300)]
     made += [(300 + i, made[5][1]) for i in range(60)]  # ties
     made += [(400, None), (401, []), (402, [0.0] * 6), (403, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (404, [math.nan] + [1.0] * 5), (405, [math.inf] + [1.0] * 5),
-             (None, [1.0] * 6), (406, [1.0, 2.0]), (410, [2.0, 1.0]), (7, made[7][1]), (420, [1e30] * 6), (421, [1e-30] * 6)]
+             (None, [1.0] * 6), (406, [1.0, 2.0]), (410, [2.0, 1.0]), (7, made[7][1]), (10, made[11][1]), (20, [50 * x for x in made[20][1]]), (420, [1e30] * 6), (421, [1e-30] * 6)]
     return made
 
 
@@ -43,11 +43,9 @@ def test_equals_brute_force(spark, rows, monkeypatch, block, stripe):
     monkeypatch.setattr(b, "BLOCK_ROWS", block)
     monkeypatch.setattr(b, "STRIPE", stripe)
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, rank string").repartition(3)
-    found = {}
-    for r in b.nearest(df, F.col("vec_id") % 10 == 0, 20).orderBy("query_id", "rank").collect():
-        assert r["rank"] == len(found.setdefault(r["query_id"], [])) + 1
-        found[r["query_id"]].append((r["vec_id"], r["score"]))
+    found = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in b.nearest(df, F.col("vec_id") % 10 == 0, 20).collect())
     assert found == brute(rows, 20, 10)
+    assert any(q == c for q, _, c, _ in found)  # another row with the query's id is a candidate
 
 
 def test_bounds_hold():

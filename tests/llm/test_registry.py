@@ -4,6 +4,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from compare import TABLES, connect, difference
 from conftest import SF
+from stallwise.session import durable
 
 
 @pytest.fixture(scope="module")
@@ -35,3 +36,19 @@ def test_pipeline(spark):
     ids = [r["doc_id"] for r in out]
     assert len(set(ids)) == len(ids) and set(ids) < {r["doc_id"] for r in docs.collect()}
     assert len(out) > 0.6 * docs.count() and all(r["n_ids"] == len(r["ids"]) for r in out)
+
+
+def through(spark, docs):
+    for name, stage in corpus_pipeline.STAGES:
+        docs = durable(stage(spark, docs, SF))
+    return docs
+
+
+def test_pipeline_on_odd_documents(spark, documents, none):
+    """Null and repeated ids, null and empty texts, repeated rows, extra columns with operators' names; an empty table."""
+    rows = through(spark, documents).collect()
+    assert rows and all(r["n_ids"] == len(r["ids"]) for r in rows)
+    assert sorted(r["position"] for r in rows) == list(range(len(rows)))
+    gone = {200, 201, 202, 203, 204, 205, 206, 207, 209}  # empty, too short, junk
+    assert not gone & {r["doc_id"] for r in rows}
+    assert through(spark, none).collect() == []
