@@ -89,7 +89,7 @@ def main() -> None:
         modeling.evaluation_summary(modeling.labelled_scores(model, split), split).collect()
 
     with timed("score"):
-        loaded = modeling.load(spark, f"{root}/models", "v1")
+        loaded = modeling.load_linear(spark, f"{root}/models", "v1")
         scored = modeling.store_scores(loaded, exported, f"{root}/predictions")
 
     with timed("bridge"):

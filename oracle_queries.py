@@ -336,6 +336,38 @@ MODELS = {
     "x_labelled": f"select *, {split_of('order_purchase_timestamp')} as split from x_features where is_delayed is not null",
     "x_train": f"select {', '.join(FEATURE_COLUMNS)} from x_labelled where split = 'train'",
     "x_current": "select * from x_features",
+    # ---- a linear model whose weights follow from counts
+    "y_train": "select * from x_labelled where split = 'train'",
+    "y_vocabulary": f"""select feature, v as category, n_rows, cast(case
+          when n_values < {contract.MAX_CATEGORIES} or place < {contract.MAX_CATEGORIES} then row_number() over (
+            partition by feature, n_values < {contract.MAX_CATEGORIES} or place < {contract.MAX_CATEGORIES} order by v) - 1
+          else {contract.MAX_CATEGORIES - 1} end as int) as slot
+        from (select feature, v, n_rows, count(*) over (partition by feature) as n_values,
+            row_number() over (partition by feature order by n_rows desc, v desc) as place
+          from (select feature, v, count(*) as n_rows
+            from ({long_texts('x_train', 1, contract.MISSING_CATEGORY)}) l group by 1, 2) c) p""",
+    "y_medians": f"select {', '.join(f'median({c}) as {c}' for c in NUMERIC)} from y_train",
+    "y_weights": "select " + ", ".join(
+        f"""round(count(*) filter (t.is_delayed = 1 and t.{c} > m.{c}) / cast(count(*) filter (t.is_delayed = 1) as double)
+        - count(*) filter (t.is_delayed = 0 and t.{c} > m.{c}) / cast(count(*) filter (t.is_delayed = 0) as double), 6) as {c}"""
+        for c in NUMERIC
+    ) + """, round(ln(count(*) filter (t.is_delayed = 1) / cast(count(*) filter (t.is_delayed = 0) as double)), 6) as intercept,
+        count(*) filter (t.is_delayed = 1) / cast(count(*) as double) as rate from y_train t, y_medians m""",
+    "y_slots": f"""select l.feature, v.slot, min(case when v.slot = {contract.MAX_CATEGORIES - 1} then 'infrequent' else v.category end) as label,
+        round(avg(l.late) - min(w.rate), 6) as weight
+        from ({" union all ".join(f"select '{c}' as feature, coalesce({c}, '{contract.MISSING_CATEGORY}') as category, cast(is_delayed as double) as late from y_train" for c in CATEGORICAL)}) l
+        join y_vocabulary v on v.feature = l.feature and v.category = l.category, y_weights w group by 1, 2""",
+    "y_coefficients": " union all ".join(f"select '{c}' as feature, {c} as coefficient from y_weights" for c in NUMERIC)
+    + " union all select feature || '=' || label, weight from y_slots",
+    "y_scored": "select f.order_id, 1 / (1 + exp(-(w.intercept"
+    + "".join(f" + w.{c} * coalesce(cast(f.{c} as double), m.{c})" for c in NUMERIC)
+    + "".join(f" + coalesce(s{i}.weight, 0)" for i in range(len(CATEGORICAL)))
+    + "))) as p from x_features f cross join y_weights w cross join y_medians m"
+    + "".join(
+        f""" left join y_vocabulary v{i} on v{i}.feature = '{c}' and v{i}.category = coalesce(f.{c}, '{contract.MISSING_CATEGORY}')
+        left join y_slots s{i} on s{i}.feature = '{c}' and s{i}.slot = v{i}.slot"""
+        for i, c in enumerate(CATEGORICAL)
+    ),
     "x_shifted": """select * replace (total_payment_value * 1.5e0 as total_payment_value,
         case when order_id % 4 = 0 then 'special' else product_category end as product_category) from x_current""",
     # ---- scores
@@ -604,14 +636,13 @@ ANSWERS = {
         from x_train, (select median({f}) as m from x_train) t"""
         for f in NUMERIC
     ),
-    "category_vocabulary": f"""select feature, v as category, n_rows, cast(case
-          when n_values < {contract.MAX_CATEGORIES} or place < {contract.MAX_CATEGORIES} then row_number() over (
-            partition by feature, n_values < {contract.MAX_CATEGORIES} or place < {contract.MAX_CATEGORIES} order by v) - 1
-          else {contract.MAX_CATEGORIES - 1} end as int) as slot
-        from (select feature, v, n_rows, count(*) over (partition by feature) as n_values,
-            row_number() over (partition by feature order by n_rows desc, v desc) as place
-          from (select feature, v, count(*) as n_rows
-            from ({long_texts('x_train', 1, contract.MISSING_CATEGORY)}) l group by 1, 2) c) p""",
+    "category_vocabulary": "select * from y_vocabulary",
+    "train_logistic": f"""select feature, 1 as optimal from (
+        select unnest({[*NUMERIC, '(intercept)']}) as feature
+        union all select distinct feature || '=' || label from y_slots) f""",
+    "top_coefficients": "select feature, coefficient from y_coefficients order by abs(coefficient) desc, feature limit 25",
+    "score_orders": f"""select order_id, round(p, 9) as predicted_probability, cast(p >= {contract.CLASS_THRESHOLD} as int) as predicted_class,
+        '{VERSION}' as model_version, timestamp '{RUN_STAMP}' as prediction_timestamp from y_scored""",
     "score_dry_run": f"select count(*) as n_input, count(*) as n_scored, '{VERSION}' as model_version from x_features",
     # ---- retraining
     "baseline_lookup": "select roc_auc_val as baseline_roc_auc, train_snapshot from r_registry",

@@ -189,6 +189,32 @@ class Data:
         train = sinks.overwrite(split.where(F.col("split") == splits.TRAIN), self.path("train"))
         return modeling.fit(train, VERSION), split
 
+    def rule_model(self) -> modeling.LinearModel:
+        """A linear model whose weights follow from counts, so that another engine can work them out as well: how much
+        more often a late order is above the median, and how much later a category is than all. Fits are tested apart."""
+        split = self.labelled_split(self.stored_features)
+        train = sinks.overwrite(split.where(F.col("split") == splits.TRAIN), self.path("train"))
+        medians = {r["feature"]: r["median"] for r in modeling.numeric_statistics(train).select("feature", "median").collect()}
+        vocabulary = sinks.overwrite(modeling.category_vocabulary(train), self.path("vocabulary"))
+        labels = modeling.slot_labels(vocabulary)
+        late = F.col("is_delayed") == 1
+        above = [F.col(c) > F.lit(medians[c]) for c in contract.NUMERIC_FEATURES]
+        counts = train.agg(
+            F.count_if(late).alias("late"), F.count_if(~late).alias("other"),
+            *[F.count_if(late & a).alias(f"late{i}") for i, a in enumerate(above)], *[F.count_if(~late & a).alias(f"other{i}") for i, a in enumerate(above)],
+        )
+        shares = [F.col(f"late{i}") / F.col("late") - F.col(f"other{i}") / F.col("other") for i in range(len(above))]
+        odds = F.log(F.col("late") / F.col("other"))
+        row = counts.select(F.transform(F.array(*shares), lambda v: F.round(v, 6)).alias("weights"), F.round(odds, 6).alias("intercept"),
+                            "late", (F.col("late") + F.col("other")).alias("n")).first()
+        slots = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_c_{c}").cast("int").alias("slot")) for c in contract.CATEGORICAL_FEATURES])
+        encoded = modeling.encode(train, {c: (medians[c], 0.0, 1.0) for c in medians}, labels, vocabulary)
+        rates = encoded.select("is_delayed", F.inline(slots)).groupBy("feature", "slot").agg((F.count_if(late) / F.count("*")).alias("rate"))
+        overall = F.lit(row["late"]) / F.lit(row["n"])
+        found = {(r["feature"], r["slot"]): r["weight"] for r in rates.select("feature", "slot", F.round(F.col("rate") - overall, 6).alias("weight")).collect()}
+        weights = [found[c, slot] for c in contract.CATEGORICAL_FEATURES for slot in range(len(labels[c]))]
+        return modeling.LinearModel(VERSION, {c: (medians[c], 0.0, 1.0) for c in medians}, labels, vocabulary, row["n"], [*row["weights"], *weights], row["intercept"])
+
     def write_csv(self, df: DataFrame, path: str) -> str:
         df.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
         return path
@@ -810,22 +836,23 @@ def category_vocabulary(d: Data) -> DataFrame:
 
 @query
 def train_logistic(d: Data) -> DataFrame:
-    model, _ = d.model()
-    n = len(model.input_names())
-    return modeling.top_coefficients(model, n)
+    """Every input of the fitted model, and that the penalised loss has no slope there."""
+    model, split = d.model()
+    checked = modeling.optimality(model, split.where(F.col("split") == splits.TRAIN))
+    return checked.select("feature", F.col("optimal").cast("int").alias("optimal"))
 
 
 @query
 def top_coefficients(d: Data) -> DataFrame:
-    model, _ = d.model()
-    return modeling.top_coefficients(model, 25)
+    return modeling.top_coefficients(d.rule_model(), 25)
 
 
 @query
 def score_orders(d: Data) -> DataFrame:
-    model, _ = d.model()
-    loaded = modeling.load(d.spark, *modeling.save(model, d.path("model")).rsplit("/", 1))
-    return modeling.score(loaded, d.stored_features, F.lit(RUN_STAMP).cast("timestamp_ntz"))
+    """Scores from a stored table of coefficients."""
+    stored = modeling.save(d.rule_model(), d.path("model"))
+    loaded = modeling.load_linear(d.spark, *stored.rsplit("/", 1))
+    return rounded(modeling.score(loaded, d.stored_features, F.lit(RUN_STAMP).cast("timestamp_ntz")), "predicted_probability", digits=9)
 
 
 @query
@@ -874,7 +901,7 @@ def with_number(df: DataFrame) -> DataFrame:
 
 @query
 def trigger_performance(d: Data) -> DataFrame:
-    return with_number(triggers(d)[0])
+    return with_number(retraining.trigger_performance(d.monthly))
 
 
 @query

@@ -129,6 +129,44 @@ def slot_labels(vocabulary: DataFrame, max_outputs: int = contract.MAX_CATEGORIE
     return labels
 
 
+@dataclass(frozen=True)
+class LinearModel:
+    """What scoring needs: bounded statistics and coefficients on the driver, the vocabulary as a table."""
+
+    version: str
+    numeric: dict[str, tuple[float, float, float]]
+    labels: dict[str, list[str]]
+    vocabulary: DataFrame
+    train_rows: int
+    coefficients: list[float]
+    intercept: float
+
+    def input_names(self) -> list[str]:
+        return input_names(self.labels)
+
+    def linear(self) -> LinearModel:
+        return self
+
+    def encoded(self, features: DataFrame) -> DataFrame:
+        return encode(features, self.numeric, self.labels, self.vocabulary)
+
+    def probability(self) -> Column:
+        """Of an encoded row: terms are added in the order of the inputs, so every engine gets the same sum."""
+        total, at = F.lit(float(self.intercept)), 0
+        for c in contract.NUMERIC_FEATURES:
+            total, at = total + F.lit(float(self.coefficients[at])) * F.col(f"_n_{c}"), at + 1
+        for c in contract.CATEGORICAL_FEATURES:
+            n = len(self.labels[c])
+            # the place after the last slot stands for categories not seen in training
+            weights = F.array(*[F.lit(float(w)) for w in self.coefficients[at : at + n]], F.lit(0.0))
+            total, at = total + F.element_at(weights, F.col(f"_c_{c}").cast("int") + 1), at + n
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+
+
+def input_names(labels: dict[str, list[str]]) -> list[str]:
+    return [*contract.NUMERIC_FEATURES, *[f"{f}={label}" for f in contract.CATEGORICAL_FEATURES for label in labels[f]]]
+
+
 @dataclass(frozen=True)
 class DelayModel:
     """A fitted model: bounded statistics on the driver, the vocabulary as a table, Spark ML stages."""
@@ -145,8 +183,13 @@ class DelayModel:
         return self.stages.stages[-1]
 
     def input_names(self) -> list[str]:
-        encoded = [f"{f}={label}" for f in contract.CATEGORICAL_FEATURES for label in self.labels[f]]
-        return [*contract.NUMERIC_FEATURES, *encoded]
+        return input_names(self.labels)
+
+    def linear(self) -> LinearModel:
+        fitted = self.classifier
+        return LinearModel(
+            self.version, self.numeric, self.labels, self.vocabulary, self.train_rows, [float(w) for w in fitted.coefficients], float(fitted.intercept)
+        )
 
     def encoded(self, features: DataFrame) -> DataFrame:
         return encode(features, self.numeric, self.labels, self.vocabulary)
@@ -235,49 +278,87 @@ def fit(train: DataFrame, version: str, max_iter: int = contract.MAX_ITERATIONS)
     return DelayModel(version, statistics, labels, vocabulary, stages, rows)
 
 
-def save(model: DelayModel, path: str) -> str:
+def save(model: DelayModel | LinearModel, path: str) -> str:
     """Writes the model under ``path``/``version``; each part is a Spark table or Spark ML artefact."""
     spark = model.vocabulary.sparkSession
     base = f"{path.rstrip('/')}/{model.version}"
-    model.stages.write().overwrite().save(f"{base}/stages")
+    if isinstance(model, DelayModel):
+        model.stages.write().overwrite().save(f"{base}/stages")
     model.vocabulary.write.mode("overwrite").parquet(f"{base}/vocabulary")
     rows = [(f, *values, model.train_rows) for f, values in model.numeric.items()]
     spark.createDataFrame(
         rows, "feature string, median double, mean double, scale double, train_rows bigint"
     ).coalesce(1).write.mode("overwrite").parquet(f"{base}/numeric")
+    coefficient_table(model).coalesce(1).write.mode("overwrite").parquet(f"{base}/coefficients")
     return base
 
 
-def load(spark: SparkSession, path: str, version: str) -> DelayModel:
-    base = f"{path.rstrip('/')}/{version}"
+INTERCEPT = "(intercept)"
+
+
+def coefficient_table(model: DelayModel | LinearModel) -> DataFrame:
+    """(position, feature, coefficient) in the order of the inputs, the intercept last."""
+    linear = model.linear()
+    pairs = [*zip(linear.input_names(), linear.coefficients), (INTERCEPT, linear.intercept)]
+    rows = [(at, name, float(value)) for at, (name, value) in enumerate(pairs)]
+    return linear.vocabulary.sparkSession.createDataFrame(rows, "position int, feature string, coefficient double")
+
+
+def stored_parts(spark: SparkSession, base: str) -> tuple[DataFrame, dict[str, tuple[float, float, float]], int]:
+    """Vocabulary, statistics per number and training rows of a saved model."""
     vocabulary = spark.read.parquet(f"{base}/vocabulary")
     repeated = vocabulary.groupBy("feature", "category").count().where("count > 1").first()
     if repeated is not None:
         raise ValueError(f"category {repeated['category']} of {repeated['feature']} has two slots")
     numeric = spark.read.parquet(f"{base}/numeric").collect()
-    return DelayModel(
-        version,
-        {r["feature"]: (r["median"], r["mean"], r["scale"]) for r in numeric},
-        slot_labels(vocabulary),
-        vocabulary,
-        PipelineModel.load(f"{base}/stages"),
-        numeric[0]["train_rows"],
-    )
+    return vocabulary, {r["feature"]: (r["median"], r["mean"], r["scale"]) for r in numeric}, numeric[0]["train_rows"]
 
 
-def score(model: DelayModel, features: DataFrame, stamp: Column | None = None) -> DataFrame:
+def load(spark: SparkSession, path: str, version: str) -> DelayModel:
+    base = f"{path.rstrip('/')}/{version}"
+    vocabulary, numeric, train_rows = stored_parts(spark, base)
+    return DelayModel(version, numeric, slot_labels(vocabulary), vocabulary, PipelineModel.load(f"{base}/stages"), train_rows)
+
+
+def load_linear(spark: SparkSession, path: str, version: str) -> LinearModel:
+    """The model from its tables alone, for scoring."""
+    base = f"{path.rstrip('/')}/{version}"
+    vocabulary, numeric, train_rows = stored_parts(spark, base)
+    values = [r["coefficient"] for r in spark.read.parquet(f"{base}/coefficients").orderBy("position").collect()]
+    return LinearModel(version, numeric, slot_labels(vocabulary), vocabulary, train_rows, values[:-1], values[-1])
+
+
+def score(model: DelayModel | LinearModel, features: DataFrame, stamp: Column | None = None) -> DataFrame:
     """One prediction per feature row, labelled or not; the lookups are unique, so rows neither drop nor repeat."""
-    probability = vector_to_array(F.col("probability"))[1]
-    return model.stages.transform(model.encoded(features)).select(
+    linear = model.linear()
+    return linear.encoded(features).select("order_id", linear.probability().alias("predicted_probability")).select(
         "order_id",
-        probability.alias("predicted_probability"),
-        fn.predicted_class(probability).alias("predicted_class"),
+        "predicted_probability",
+        fn.predicted_class(F.col("predicted_probability")).alias("predicted_class"),
         F.lit(model.version).alias("model_version"),
         (stamp if stamp is not None else F.current_timestamp()).alias("prediction_timestamp"),
     )
 
 
-def store_scores(model: DelayModel, features: DataFrame, path: str, stamp: Column | None = None) -> DataFrame:
+def optimality(model: DelayModel, train: DataFrame, tolerance: float = 1e-4) -> DataFrame:
+    """(feature, gradient, optimal) per input and for the intercept: the slope of the penalised loss at the fitted weights,
+    per training row, and whether it is zero within ``tolerance``.
+
+    The loss is the summed log loss plus half the squared weights, the intercept free. One pass over the training rows.
+    """
+    linear = model.linear()
+    label = F.col(contract.LABEL).cast("double")
+    rows = linear.encoded(train.where(F.col(contract.LABEL).isNotNull())).withColumn("_miss", linear.probability() - label)
+    slopes = [F.sum(F.col("_miss") * F.col(f"_n_{c}")) for c in contract.NUMERIC_FEATURES]
+    slopes += [F.sum(F.when(F.col(f"_c_{c}") == slot, F.col("_miss"))) for c in contract.CATEGORICAL_FEATURES for slot in range(len(linear.labels[c]))]
+    weights = [*linear.coefficients, 0.0]
+    names = [*linear.input_names(), INTERCEPT]
+    summed = rows.agg(F.count("*").alias("n"), *[F.coalesce(slope, F.lit(0.0)).alias(f"g{i}") for i, slope in enumerate([*slopes, F.sum("_miss")])])
+    entries = [F.struct(F.lit(name).alias("feature"), ((F.col(f"g{i}") + F.lit(float(weights[i]))) / F.col("n")).alias("gradient")) for i, name in enumerate(names)]
+    return summed.select(F.inline(F.array(*entries))).withColumn("optimal", F.abs("gradient") <= F.lit(tolerance))
+
+
+def store_scores(model: DelayModel | LinearModel, features: DataFrame, path: str, stamp: Column | None = None) -> DataFrame:
     """Writes one prediction per feature row; another number of rows than was read is an error."""
     stored = sinks.overwrite(score(model, features, stamp), path)
     read, written = features.count(), stored.count()
@@ -286,7 +367,7 @@ def store_scores(model: DelayModel, features: DataFrame, path: str, stamp: Colum
     return stored
 
 
-def score_dry_run(model: DelayModel, features: DataFrame) -> DataFrame:
+def score_dry_run(model: DelayModel | LinearModel, features: DataFrame) -> DataFrame:
     """(n_input, n_scored): runs the scoring and writes nothing."""
     scored = score(model, features).agg(
         F.count("predicted_probability").alias("n_scored"), F.max("model_version").alias("model_version")
@@ -319,15 +400,10 @@ def evaluation_summary(scores: DataFrame, split: DataFrame) -> DataFrame:
     return sizes.join(evaluate(held_out, ["split"]).drop("n_rows"), "split", "left")
 
 
-def top_coefficients(model: DelayModel, n: int = 25) -> DataFrame:
+def top_coefficients(model: DelayModel | LinearModel, n: int = 25) -> DataFrame:
     """(feature, coefficient) by absolute size; as many rows as the model has inputs, so bounded."""
-    spark = model.vocabulary.sparkSession
-    pairs = list(zip(model.input_names(), (float(v) for v in model.classifier.coefficients)))
-    return (
-        spark.createDataFrame(pairs, "feature string, coefficient double")
-        .orderBy(F.abs("coefficient").desc(), "feature")
-        .limit(n)
-    )
+    table = coefficient_table(model).where(F.col("feature") != INTERCEPT)
+    return table.select("feature", "coefficient").orderBy(F.abs("coefficient").desc(), "feature").limit(n)
 
 
 def auc_gate(report: DataFrame, minimum: float) -> DataFrame:

@@ -1,5 +1,8 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from stallwise import contract
@@ -165,3 +168,31 @@ def test_hot_state_and_a_vocabulary_beyond_broadcast(spark):
         for c, value in zip(TEXTS, texts[row["order_id"]]):
             assert row[f"_c_{c}"] == slots.get((c, value or "missing"), len(labels[c]))
     assert len(got) == 6000 and max(sizes) < 0.5 * 6000
+
+
+def test_linear_scores_equal_the_fitted_stages(spark, fitted, tmp_path):
+    rows, model = fitted
+    features = spark.createDataFrame([*rows, (2000, *rows[0][1:14], "never seen", None, "c1", None)], SCHEMA)
+    stages = model.stages.transform(model.encoded(features)).select("order_id", vector_to_array("probability")[1].alias("p"))
+    want = {r["order_id"]: r["p"] for r in stages.collect()}
+    got = {r["order_id"]: r["predicted_probability"] for r in modeling.score(model, features).collect()}
+    assert got == pytest.approx(want, abs=1e-12)
+    modeling.save(model, str(tmp_path))
+    loaded = modeling.load_linear(spark, str(tmp_path), "v1")
+    assert {r["order_id"]: r["predicted_probability"] for r in modeling.score(loaded, features).collect()} == got
+    assert [tuple(r) for r in modeling.top_coefficients(loaded, 5).collect()] == [tuple(r) for r in modeling.top_coefficients(model, 5).collect()]
+
+
+def test_optimality_holds_at_the_fit_only(spark, fitted):
+    rows, model = fitted
+    train = spark.createDataFrame(rows, SCHEMA)
+    x, y = design(rows, model)
+    checked = {r["feature"]: r for r in modeling.optimality(model, train).collect()}
+    assert len(checked) == x.shape[1] + 1 and all(r["optimal"] for r in checked.values())
+    w = np.array(model.classifier.coefficients)
+    p = 1 / (1 + np.exp(-(x @ w + model.classifier.intercept)))
+    slopes = (x.T @ (p - y) + w) / len(y)
+    assert [checked[name]["gradient"] for name in model.input_names()] == pytest.approx(list(slopes), abs=1e-9)
+    linear = model.linear()
+    moved = replace(linear, coefficients=[linear.coefficients[0] + 0.05, *linear.coefficients[1:]])
+    assert not all(r["optimal"] for r in modeling.optimality(moved, train).collect())
