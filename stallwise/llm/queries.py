@@ -129,13 +129,15 @@ def op6_langid_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn as a reply by mail: it quotes the first line of the turn before it, and of that one's own quote, or
-    now and then the turn before that."""
+    """Every turn as a reply by mail: it quotes the turn before it, wrapped anew after every six words, and the first line of that
+    one's own quote; every third turn quotes the first line of the turn before that."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    first = turns.select("conv_id", F.col("turn").alias("at"), F.split("text", "\n")[0].alias("line")).groupBy("conv_id", "at").agg(F.min("line").alias("line"))
-    one, two = (first.select("conv_id", (F.col("at") + n).alias("turn"), F.col("line").alias(f"line{n}")) for n in (1, 2))
+    said = turns.groupBy("conv_id", F.col("turn").alias("at")).agg(F.min(F.split("text", "\n")[0]).alias("line"), F.min("text").alias("whole"))
+    wrapped = F.regexp_replace(F.regexp_replace("whole", "[\n\r]+", " "), "((?:[^ ]+ ){5}[^ ]+) ", "$1\n> ")
+    one = said.select("conv_id", (F.col("at") + 1).alias("turn"), wrapped.alias("wrapped1"))
+    two = said.select("conv_id", (F.col("at") + 2).alias("turn"), F.col("line").alias("line2"))
     joined = turns.join(one, ["conv_id", "turn"], "left").join(two, ["conv_id", "turn"], "left")
-    near = F.concat_ws("\n", F.concat(F.lit("> > "), "line2"), F.concat(F.lit("> "), "line1"), "text")
+    near = F.concat_ws("\n", F.concat(F.lit("> > "), "line2"), F.concat(F.lit("> "), "wrapped1"), "text")
     far = F.concat_ws("\n", F.concat(F.lit("> "), "line2"), "text")
     return joined.select("conv_id", "turn", "role", F.when(F.col("turn") % 3 == 2, far).otherwise(near).alias("text"))
 
@@ -147,23 +149,35 @@ def op7_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op7_quotation_linking"] = r"""
 with recursive firsts as (
-  select conv_id, turn, min(string_split(text, chr(10))[1]) as line from conversations group by all
+  select conv_id, turn, min(string_split(text, chr(10))[1]) as line, min(text) as whole from conversations group by all
 ), mail as (
   select c.conv_id, c.turn, c.role, case when c.turn % 3 = 2 then concat_ws(chr(10), '> ' || b.line, c.text)
-    else concat_ws(chr(10), '> > ' || b.line, '> ' || a.line, c.text) end as text
+    else concat_ws(chr(10), '> > ' || b.line,
+      '> ' || regexp_replace(regexp_replace(a.whole, '[\n\r]+', ' ', 'g'), '((?:[^ ]+ ){5}[^ ]+) ', '\1' || chr(10) || '> ', 'g'), c.text) end as text
   from conversations c left join firsts a on a.conv_id = c.conv_id and a.turn = c.turn - 1
     left join firsts b on b.conv_id = c.conv_id and b.turn = c.turn - 2
-), lines as (
+), split as (
   select conv_id, turn, role, i, line, length(regexp_replace(regexp_extract(line, '^(( ?>)+) ?', 1), '[^>]', '', 'g')) as level,
-    lower(trim(regexp_replace(regexp_replace(line, '^(( ?>)+) ?', ''), '[ 	
-]+', ' ', 'g'))) as said
+    regexp_replace(line, '^(( ?>)+) ?', '') as content
   from (select conv_id, turn, role, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from mail)
-), own as (select distinct conv_id, turn, said from lines where level = 0 and said <> ''
+), lines as (
+  select *, lower(trim(regexp_replace(content, '[ 	]+', ' ', 'g'))) as said from split
+), marked as (
+  select *, case when lag(level) over (partition by conv_id, turn order by i) is not distinct from level then 0 else 1 end as starts from split
+), runs as (
+  select *, sum(starts) over (partition by conv_id, turn order by i) as run from marked
+), passages as (
+  select conv_id, turn, level, run, lower(trim(regexp_replace(string_agg(content, ' ' order by i), '[ 	]+', ' ', 'g'))) as said from runs group by all
+), parts as (
+  select conv_id, turn, level, said from lines
+  union all
+  select conv_id, turn, level, unnest(string_split(regexp_replace(said, '([.!?]) ', '\1' || chr(1), 'g'), chr(1))) from passages
+), own as (select distinct conv_id, turn, said from parts where level = 0 and said <> ''
+), asked as (select conv_id, turn, level, said, count(*) as times from parts where level > 0 and said <> '' group by all
 ), found as (
-  select q.conv_id, q.turn, q.level, q.i, max(o.turn) as parent
-  from lines q join own o on o.conv_id = q.conv_id and o.said = q.said and o.turn < q.turn
-  where q.level > 0 and q.said <> '' group by all
-), votes as (select conv_id, turn, level, parent, count(*) as n from found group by all
+  select q.conv_id, q.turn, q.level, q.said, q.times, max(o.turn) as parent
+  from asked q join own o on o.conv_id = q.conv_id and o.said = q.said and o.turn < q.turn group by all
+), votes as (select conv_id, turn, level, parent, sum(times) as n from found group by all
 ), chosen as (
   select conv_id, turn, parent from votes
   qualify row_number() over (partition by conv_id, turn order by level, n desc, parent desc) = 1

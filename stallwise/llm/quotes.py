@@ -1,19 +1,22 @@
 """Chat formatting: quotation linking.
 
-Lines that begin with ``>`` are quotes; the number of marks is the level. A run of lines of one level is a passage. Each
-quoted line is normalised (lower case, blanks collapsed) and hashed, and joined to the latest earlier message of the
-conversation that has it as a line of its own. A message replies to the message that most of its quoted lines
-come from, looked for at the outermost level that finds any; of equals to the latest. Conversations are then ordered by
-thread, each reply after what it replies to, and quotes are left out.
-
-Scale. All is joins and windows over lines. The look-up of a line is an as-of join cut into ranges, so a line that is in every
-message of a conversation with a third of all rows is no hot group, and no pairs are formed. Threads follow by
+Lines that begin with ``>`` are quotes; the number of marks is the level, own lines have level 0. A run of lines of one level is
+a passage. Its text is normalised across its line breaks (marks taken off, lower case, blanks collapsed) and hashed sentence
+by sentence, so a quote that was wrapped anew, spans several lines or leaves sentences out still has the hashes of the
+original; every line is hashed as well, for quotes of lines that end within a sentence. Each hash of a quote is joined to the
+latest earlier message of the conversation that has it in a passage of its own. A message replies to the message that most
+of its quoted hashes come from, looked for at the outermost level that finds any; of equals to the latest. Conversations
+are then ordered by thread, each reply after what it replies to, and quotes are left out.
+
+Scale. All is joins and windows over lines and sentences. The look-up is an as-of join cut into ranges, so a sentence that is
+in every message of a conversation with a third of all rows is no hot group, and no pairs are formed. Threads follow by
 pointer jumping in as many rounds as the depth has binary digits. Places come from running counts over ranges.
 
 Defined cases. A null text is a message without lines; blank lines and bare marks quote nothing. Quotes that no earlier
-message explains are dropped like others. Messages that share conversation and turn are told apart by a number given in order
-of role and text; equal rows stay equal rows. Null conversations form one conversation, null turns come first.
-Other columns are ignored.
+message explains are dropped like others, as are parts of a sentence that are no line of the original. Messages that share
+conversation and turn are told apart by a number given in order of role and text; equal rows stay equal rows. Texts of any
+length are read whole, a message in one row. Null conversations form one conversation, null turns come first. Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from stallwise.operators.prefix import running_sums
 from stallwise.session import durable
 
 MARKS = r"^((?:[ ]?>)+)[ ]?"
-NO_TURN = -(1 << 62)
+# They separate passages and their levels while a message is one text; such characters of the text itself are taken out.
+NEXT, LEVEL = "\x01", "\x02"
 
 
 def level(line: Column) -> Column:
@@ -52,16 +56,34 @@ def numbered(messages: DataFrame) -> DataFrame:
     return durable(ranked.select("conv", "turn", "role", "message", F.split("text", "\n").alias("lines")))
 
 
-def quoted_lines(messages: DataFrame) -> DataFrame:
-    """conv, message, level (0: own) and hash of every line that says something."""
+def passages(lines: Column) -> Column:
+    """Passages of a message as ``level LEVEL text``: its lines, each led in by a blank or by the mark of a new passage."""
+    def piece(line: Column, at: Column) -> Column:
+        before = F.try_element_at(lines, F.when(at > 0, at).otherwise(1))
+        same = (at > 0) & (level(line) == level(before))
+        return F.concat(F.when(same, F.lit(" ")).otherwise(F.concat(F.lit(NEXT), level(line).cast("string"), F.lit(LEVEL))), F.translate(content(line), NEXT + LEVEL, ""))
+
+    return F.split(F.array_join(F.transform(lines, piece), ""), NEXT)
+
+
+def sentences(text: Column) -> Column:
+    return F.split(F.regexp_replace(text, "([.!?]) ", f"$1{NEXT}"), NEXT)
+
+
+def quoted_parts(messages: DataFrame) -> DataFrame:
+    """conv, message, level (0: own) and hash of every line and of every sentence of every passage that says something."""
     lines = messages.select("conv", "message", F.explode("lines").alias("line"))
-    text = normalised(content(F.col("line")))
-    return lines.select("conv", "message", level(F.col("line")).alias("level"), text.alias("said")).where("said <> ''").select("conv", "message", "level", F.md5(F.col("said").cast("binary")).alias("hash"))
+    single = lines.select("conv", "message", level(F.col("line")).alias("level"), normalised(content(F.col("line"))).alias("said"))
+    runs = messages.select("conv", "message", F.explode(passages(F.col("lines"))).alias("run")).where(F.col("run") != "")
+    whole = F.substring_index("run", LEVEL, -1)
+    told = runs.select("conv", "message", F.substring_index("run", LEVEL, 1).cast("int").alias("level"), F.explode(sentences(normalised(whole))).alias("said"))
+    parts = single.unionByName(told).where("said <> ''")
+    return parts.select("conv", "message", "level", F.md5(F.col("said").cast("binary")).alias("hash"))
 
 
 def parents(messages: DataFrame) -> DataFrame:
     """message, parent of every message whose quotes lead to an earlier one."""
-    lines = quoted_lines(messages).groupBy("conv", "message", "level", "hash").agg(F.count("*").alias("times"))
+    lines = quoted_parts(messages).groupBy("conv", "message", "level", "hash").agg(F.count("*").alias("times"))
     keyed = lines.withColumn("key", F.md5(F.concat_ws("/", F.coalesce(F.col("conv").cast("string"), F.lit("none")), "hash").cast("binary")))
     # own lines come after the quotes of their message: a message does not quote itself
     rows = keyed.select("key", "message", "level", "times", (F.col("level") == 0).alias("own"))

@@ -74,3 +74,27 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame(MESSAGES, "conv_id long, turn long, role string, text string")
     plan = quotes.linked(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_passages_are_found_across_line_breaks(spark):
+    """Quotes wrapped anew, of several lines, of some sentences only; a fragment of a sentence leads nowhere."""
+    rows = [
+        (1, 0, "a", "The first thing is long\nand goes over lines. The second one\nis short! A third"),
+        (1, 1, "b", "Something else. Entirely so."),
+        (1, 2, "c", "> The first thing\n> is long and goes\n> over lines.\nNoted."),
+        (1, 3, "d", "> the second  ONE is short!\nFine."),
+        (1, 4, "e", ">> goes over lines. The second one is\n>> short! A third\n> Noted.\n> Fine.\nBoth."),
+        (1, 5, "f", "> second one\nA fragment."),
+        (1, 6, "g", "> and goes over lines. the second one\nA line."),
+        (1, 7, "h", "> Both. > not a mark\nx\x01y\x02z"),
+    ]
+    got = quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {r["turn"]: r["parent_turn"] for r in got} == {0: None, 1: None, 2: 0, 3: 0, 4: 3, 5: None, 6: 0, 7: 4}
+    assert next(r["body"] for r in got if r["turn"] == 7) == "x\x01y\x02z"
+
+
+def test_passages(spark):
+    lines = ["own one", "own two.", "> q. one", "> q two", "> > deep", "", "own three"]
+    row = spark.createDataFrame([(lines,)], "lines array<string>").select(quotes.passages(F.col("lines")).alias("p")).first()
+    assert row["p"] == ["", "0\x02own one own two.", "1\x02q. one q two", "2\x02deep", "0\x02 own three"]
+    assert spark.createDataFrame([(None,), ([],)], "lines array<string>").select(F.explode(quotes.passages(F.col("lines")))).where("col <> ''").count() == 0
