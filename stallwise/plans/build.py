@@ -42,19 +42,19 @@ def stage(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: staged[name] for name in (f"stg_{source}" for source in STAGING)}
 
 
-def intermediate(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def intermediate(stg: dict[str, DataFrame], aggregated: DataFrame | None = None) -> dict[str, DataFrame]:
     return {
         "payments_aggregated": marts.payments_aggregated(stg["stg_order_payments"]),
         "order_status_normalized": marts.order_status_normalized(stg["stg_orders"]),
         "int_orders_enriched": marts.int_orders_enriched(
-            stg["stg_orders"], stg["stg_order_payments"], stg["stg_order_reviews"]
+            stg["stg_orders"], stg["stg_order_payments"], stg["stg_order_reviews"], aggregated
         ),
     }
 
 
-def order_core(stg: dict[str, DataFrame]) -> DataFrame:
+def order_core(stg: dict[str, DataFrame], aggregated: DataFrame | None = None) -> DataFrame:
     return marts.order_core(
-        stg["stg_orders"], stg["stg_order_payments"], stg["stg_order_items"], stg["stg_customers"]
+        stg["stg_orders"], stg["stg_order_payments"], stg["stg_order_items"], stg["stg_customers"], aggregated
     )
 
 
@@ -83,11 +83,15 @@ def build(raw: dict[str, DataFrame], path: str | None = None, as_of: Column | No
         return stored
 
     stg = {name: keep(name, df) for name, df in stage(raw).items()}
-    tables.update({**stg, **{name: keep(name, df) for name, df in intermediate(stg).items()}})
+    tables.update(stg)
+    # the payments per order are worked out once where they are stored
+    tables["payments_aggregated"] = keep("payments_aggregated", intermediate(stg)["payments_aggregated"])
+    aggregated = tables["payments_aggregated"] if path else None
+    tables.update({name: keep(name, df) for name, df in intermediate(stg, aggregated).items() if name != "payments_aggregated"})
     tables["dim_customers"] = keep("dim_customers", marts.dim_customers(stg["stg_customers"]))
     tables["dim_sellers"] = keep("dim_sellers", marts.dim_sellers(stg["stg_sellers"]))
     tables["dim_products"] = keep("dim_products", marts.dim_products(stg["stg_products"]))
-    core = keep("order_core", order_core(stg))
+    core = keep("order_core", order_core(stg, aggregated))
     tables["order_core"] = core
     tables["fact_orders"] = keep(
         "fact_orders",

@@ -79,13 +79,16 @@ ENRICHED_COLUMNS = [
 ]
 
 
-def int_orders_enriched(orders: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+def int_orders_enriched(
+    orders: DataFrame, payments: DataFrame, reviews: DataFrame, aggregated: DataFrame | None = None
+) -> DataFrame:
+    """``aggregated``: the payments per order where they are stored already."""
     review = latest_review(reviews).select(
         "order_id", "review_score", "review_comment_title", "review_comment_message"
     )
     return (
         with_delays(orders)
-        .join(payments_aggregated(payments), "order_id", "left")
+        .join(payments_aggregated(payments) if aggregated is None else aggregated, "order_id", "left")
         .join(review, "order_id", "left")
         .select(*ENRICHED_COLUMNS)
     )
@@ -207,12 +210,14 @@ def fact_order_items(items: DataFrame, products_dim: DataFrame, sellers_dim: Dat
     )
 
 
-def order_core(orders: DataFrame, payments: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
+def order_core(
+    orders: DataFrame, payments: DataFrame, items: DataFrame, customers: DataFrame, aggregated: DataFrame | None = None
+) -> DataFrame:
     """Orders of known customers with payments, item summary and the person's key.
 
     The person dimension is built from the same customer table, so every non-null person has a row in
     it and the key is a function of the person. One lookup by customer_id therefore does the work of
-    the two-hop join, and the orders are shuffled once less.
+    the two-hop join, and the orders are shuffled once less. ``aggregated``: the payments per order where they are stored already.
     """
     persons = customers.where(F.col("customer_unique_id").isNotNull()).select(
         "customer_id", "customer_unique_id", fn.surrogate_key(F.col("customer_unique_id")).alias("customer_key")
@@ -220,7 +225,7 @@ def order_core(orders: DataFrame, payments: DataFrame, items: DataFrame, custome
     return (
         with_delays(orders)
         .join(persons, "customer_id")
-        .join(payments_aggregated(payments), "order_id", "left")
+        .join(payments_aggregated(payments) if aggregated is None else aggregated, "order_id", "left")
         .join(item_summary(items), "order_id", "left")
         .withColumn("order_date", F.to_date("order_purchased_at"))
         .withColumn("delivery_date", F.to_date("order_delivered_customer_at"))
