@@ -460,9 +460,13 @@ def scored(documents: DataFrame, held_out: Column) -> DataFrame:
     partial = partial_scores(texts, known, tables(weights))
     numbers = with_numbers(counts, known)
     discard(counts)
+    # one number for history code and set keeps the rows of the largest shuffle short
+    cell = F.col("r.codes") * 2 + F.col("held_out").cast("int")
     pieces = partial.where(F.size("rare") > 0).select("row", "held_out", F.explode(F.arrays_zip("rare", "codes", "times")).alias("r"))
-    pieces = pieces.select("row", "held_out", F.col("r.rare").alias("token"), F.col("r.codes").alias("code"), F.col("r.times").alias("times"))
-    found = durable(pieces.join(numbers.drop("class"), "token", "left").select("row", "held_out", "code", "times", "n", F.coalesce("number", F.lit(-1)).alias("number")))
+    pieces = pieces.select("row", F.col("r.rare").alias("token"), cell.alias("cell"), F.col("r.times").alias("times"))
+    found = durable(pieces.join(numbers.drop("class"), "token", "left").select(
+        "row", F.shiftright("cell", 1).cast("int").alias("code"), (F.col("cell") % 2 == 1).alias("held_out"), F.col("times").cast("int").alias("times"), "n",
+        F.coalesce("number", F.lit(-1)).alias("number")))
     sums = durable(partial.drop("rare", "codes", "times"))
     discard(partial)
     own = numbers.where(F.col("number") >= 0)
@@ -473,23 +477,39 @@ def scored(documents: DataFrame, held_out: Column) -> DataFrame:
     discard(numbers)
     logs = F.array(*[F.lit(float(x)) for x in np.log10(np.maximum(rest, SMOOTH))])
     count = F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))
+    within = F.when(F.col("number") >= 0, F.lit(0.0)).otherwise(count - F.element_at(logs, F.floor(F.col("code") / HISTORIES).cast("int") + 1))
+
+    def added(occurrences: DataFrame) -> DataFrame:
+        """Sums per text, stored; the shuffle files of one part are gone before the next one is worked out."""
+        return durable(occurrences.groupBy("row").agg(
+            F.sum(F.col("times") * count).alias("more"), F.sum(F.col("times") * (F.col("tree") + within)).alias("token_score"),
+            F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("known"),
+        ))
+
     if depth:
         cells = durable(found.groupBy("code", "number").agg(F.sum(F.when(F.col("held_out"), 0).otherwise(F.col("times"))).alias("n")))
         tree = tree_scores(cells, depth)
         discard(cells)
-        looked_up = found.join(tree, ["code", "number"])
+        # what all tokens without own weights share has a row per tail class and history, TAIL_CLASSES * HISTORIES at most
+        shared = F.broadcast(tree.where("number < 0").select("code", "tree"))
+        parts = [added(found.where("number < 0").join(shared, "code")), added(found.where("number >= 0").join(tree.where("number >= 0"), ["code", "number"]))]
+        discard(tree)
     else:
-        looked_up = found.withColumn("tree", F.lit(0.0))
-    within = F.when(F.col("number") >= 0, F.lit(0.0)).otherwise(count - F.element_at(logs, F.floor(F.col("code") / HISTORIES).cast("int") + 1))
-    added = looked_up.groupBy("row").agg(
-        F.sum(F.col("times") * count).alias("more"), F.sum(F.col("times") * (F.col("tree") + within)).alias("token_score"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("known"),
-    )
-    return sums.join(added, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(known.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("token_score", F.lit(0.0))).alias("score"),
+        parts = [added(found.withColumn("tree", F.lit(0.0)))]
+    discard(found)
+    for i, part in enumerate(parts):
+        names = {name: f"{name}_{i}" for name in ("more", "token_score", "known")}
+        sums = sums.join(part.withColumnsRenamed(names), "row", "left")
+
+    def total(start: str, name: str) -> Column:
+        value = F.col(start)
+        for i in range(len(parts)):
+            value = value + F.coalesce(f"{name}_{i}", F.lit(0))
+        return value
+
+    return sums.select(
+        "doc_id", "held_out", "n_tokens", total("n_known", "known").alias("n_known"), F.lit(known.total).cast("long").alias("train_tokens"),
+        total("base", "more").alias("base_score"), total("score", "token_score").alias("score"),
     )
 
 
