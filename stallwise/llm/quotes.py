@@ -94,18 +94,20 @@ def parents(messages: DataFrame) -> DataFrame:
 
 
 def threads(messages: DataFrame, replies: DataFrame) -> DataFrame:
-    """message, parent, root, depth of every message."""
-    state = durable(
-        messages.select("message").join(replies, "message", "left")
-        .select("message", "parent", F.coalesce("parent", "message").alias("root"), F.col("parent").isNotNull().cast("int").alias("depth"))
-    )
-    while True:
-        up = state.select(F.col("message").alias("at"), F.col("root").alias("above"), F.col("depth").alias("more"))
-        step = durable(state.join(up, F.col("root") == F.col("at")).select("message", "parent", F.col("above").alias("root"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moved")))
-        done = step.where("moved").isEmpty()
-        state = step.drop("moved")
-        if done:
-            return state
+    """message, parent, root, depth of every message.
+
+    A message points at one above it and how far that is; in each round it takes over the pointer found there, so distances
+    double. A message whose pointer has arrived at the first of its thread takes no part in later rounds, so these shrink.
+    """
+    told = messages.select("message").join(replies, "message", "left").withColumn("final", F.col("parent").isNull())
+    state = durable(told.select("message", "parent", F.coalesce("parent", "message").alias("root"), (~F.col("final")).cast("int").alias("depth"), "final"))
+    settled, active = state.where("final"), state.where("not final")
+    while not active.isEmpty():
+        up = settled.unionByName(active).select(F.col("message").alias("at"), F.col("root").alias("above"), F.col("depth").alias("more"), F.col("final").alias("arrived"))
+        step = durable(active.join(up, F.col("root") == F.col("at")).select(
+            "message", "parent", F.col("above").alias("root"), (F.col("depth") + F.col("more")).alias("depth"), F.col("arrived").alias("final")))
+        settled, active = settled.unionByName(step.where("final")), step.where("not final")
+    return settled.drop("final")
 
 
 def linked(messages: DataFrame) -> DataFrame:
