@@ -3,29 +3,36 @@
 Documents that share a link value (the same text, host, conversation ...) are linked. Every linked document starts in a shard
 by hash. In each round links tell how many of their documents each shard holds; a document wants the shard with most of its
 neighbours, and moves there if that is more than it has now and the quotas allow: two shards exchange as many as
-ask in both directions, and free places take more. Requests beyond that are granted in the order of their gain. So groups gather in one shard and the number of linked pairs in different shards falls.
-Documents without links then fill every shard to its exact size: counts differ by one at most.
+ask in both directions, and what is left goes in cycles of shards and to free places. Where fewer can go than ask, those
+with the largest gain do. So groups gather in one shard and the number of linked pairs in different shards falls, until
+several rounds in a row bring nothing together any more. Documents without links then fill every shard to its exact size:
+counts differ by one at most.
 
 Scale. All is done by joins and sums over narrow rows of linked documents; texts are read once for their size and
 digests. A link with a third of all rows is counted map-side first and its join is split; no pairs are formed. Numbers within
-shards come from ``gapless``. The driver sees one row per shard and round. A round's shards are stored before the next.
+shards come from ``gapless``. The driver sees one row per pair of shards and round. A round's shards are stored before the next, and
+those of the round before deleted.
 
 Defined cases. A null text has size 1 and the checksum of nothing, and no link; an empty text is a text. Repeated rows are
-linked like other equal texts, null ids are kept. Ties between shards are broken by a hash of shard and round, the same
-for all documents, so that two halves of a group do not change places. Groups larger than a quota are split, with
+linked like other equal texts, null ids are kept. Ties between shards are broken by a hash of link, shard and round, the same
+for all documents of a link, so that two halves of a group do not change places. Texts of any length are read whole and go no
+further than their digest. Groups larger than a quota are split, with
 as many as fit in the shard that has most of them. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from stallwise.llm.common import gapless
-from stallwise.session import durable
+from stallwise.session import discard, durable
 
-STEPS = 1024  # grades of a request of equal gain: a quota is used up to one part in so many
+IDLE = 4  # rounds without a gain after which propagation ends
+LINKS, NODES = 256, 64  # requests of equal gain are graded by a hash of the link, so that groups go as one, then of the document
 
 
 def text_nodes(documents: DataFrame) -> DataFrame:
@@ -51,70 +58,121 @@ def by_shard(values: list, otherwise, shard: str) -> Column:
     return out
 
 
-def requests(state: DataFrame, offered: list[int], shards: int, turn: int) -> DataFrame:
-    """node, shard, to (null: stays), grade of every linked document; lower grades go first."""
-    counts = state.groupBy("link").agg(F.array(*[F.sum((F.col("shard") == k).cast("long")) for k in range(shards)]).alias("held"))
-    votes = state.join(counts, "link").groupBy("node", "shard").agg(*[F.sum(F.col("held")[k]).alias(f"v{k}") for k in range(shards)])
-    own = F.array(*[F.col(f"v{k}") for k in range(shards)])[F.col("shard")]
-    # of equal votes the shard that a hash puts first in this round, for all documents alike
-    rank = sorted(range(shards), key=lambda k: (k * 2654435761 + turn * 40503) % 65537)
-    first = {k: shards - at for at, k in enumerate(rank)}
-    offers = [F.struct(F.col(f"v{k}").alias("votes"), F.lit(first[k]).alias("first"), F.lit(k).alias("shard")) for k in offered]
-    best = F.array_max(F.array(*offers))
-    better = (F.col("best.votes") > own) | ((F.col("best.votes") == own) & (F.col("best.first") > by_shard([first[k] for k in range(shards)], 0, "shard")))
-    gain = F.floor(F.log2(F.col("best.votes") - own + 1))
-    grade = (63 - gain) * STEPS + F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(STEPS))
-    return votes.withColumn("best", best).select(
-        "node", "shard", F.when(better, F.col("best.shard")).alias("to"), F.when(better, grade).alias("grade")
+def requests(state: DataFrame, counts: DataFrame, offered: list[int], shards: int, turn: int) -> DataFrame:
+    """node, shard, to, grade of every linked document that would move; lower grades go first."""
+    votes = state.join(counts, "link").groupBy("node", "shard").agg(
+        F.min(F.xxhash64("link")).alias("seed"), *[F.sum(F.col("held")[k]).alias(f"v{k}") for k in range(shards)]
     )
-
-
-def allowances(asked: dict[tuple[int, int], int], free: list[int]) -> list[tuple[int, int, int]]:
-    """(shard, to, moves): as many as go the other way, and what the free places of the goal allow beyond that."""
-    left, out = list(free), []
-    for (a, b), n in sorted(asked.items()):
+    # of equal votes the shard that a hash of link and round puts first: one for all documents of a link, so that halves of
+    # a group meet, and any other for the next link, so that requests of equal votes go both ways between two shards
+    offers = [F.struct(F.col(f"v{k}").alias("votes"), F.xxhash64("seed", F.lit(turn), F.lit(k)).alias("first"), F.lit(k).alias("shard")) for k in range(shards)]
+    asked = votes.select("node", "shard", "seed", F.array_max(F.array(*[offers[k] for k in offered])).alias("best"), F.array(*offers)[F.col("shard")].alias("own"))
+    gain = F.floor(F.log2(F.col("best.votes") - F.col("own.votes") + 1))
+    grade = ((63 - gain) * LINKS + F.pmod(F.xxhash64("seed", F.lit(turn)), F.lit(LINKS))) * NODES + F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(NODES))
+    return asked.where(F.col("best") > F.col("own")).select("node", "shard", F.col("best.shard").alias("to"), grade.alias("grade"))
+
+
+def closed_walk(left: dict[int, dict[int, int]]) -> list[tuple[int, int]] | None:
+    """Edges of a cycle among those with something left, or None."""
+    done: set[int] = set()
+
+    def walk(a: int, path: list[int]) -> list[int] | None:
+        if a in path:
+            return path[path.index(a):] + [a]
+        if a in done:
+            return None
+        for b in sorted(left.get(a, {})):
+            if left[a][b] and (found := walk(b, path + [a])):
+                return found
+        done.add(a)
+        return None
+
+    for start in sorted(left):
+        if found := walk(start, []):
+            return list(zip(found, found[1:]))
+    return None
+
+
+def allowances(asked: dict[tuple[int, int], int], free: list[int]) -> dict[tuple[int, int], int]:
+    """Moves per (shard, to). Two shards exchange as many as ask in both directions; what is left is met along cycles of
+    requests, with the free places as a station that any shard's requests may start from. No shard gets more than it gives
+    and its free places."""
+    granted: dict[tuple[int, int], int] = {}
+    left: dict[int, dict[int, int]] = {}
+    for (a, b), n in asked.items():
         even = min(n, asked.get((b, a), 0))
-        more = min(n - even, left[b])
-        left[b] -= more
-        if even + more:
-            out.append((a, b, even + more))
-    return out
-
-
-def propagated(links: DataFrame, quota: list[int], rounds: int = 8) -> DataFrame:
-    """node, shard of every document in ``links`` (node, link), stored; each link value should be on two rows or more."""
-    shards, spark = len(quota), links.sparkSession
+        granted[a, b] = even
+        left.setdefault(a, {})[b] = n - even
+    outside = len(free)
+    left[outside] = {a: sum(free) for a in range(outside)}
+    for b, n in enumerate(free):
+        left.setdefault(b, {})[outside] = n
+    while cycle := closed_walk(left):
+        least = min(left[a][b] for a, b in cycle)
+        for a, b in cycle:
+            left[a][b] -= least
+            if outside not in (a, b):
+                granted[a, b] += least
+    return {way: n for way, n in granted.items() if n}
+
+
+def counted(state: DataFrame, shards: int) -> tuple[DataFrame, Decimal]:
+    """Documents of every link in each shard (link, held), stored, and the sum of their squares, which grows as the cut falls."""
+    held = F.array(*[F.sum((F.col("shard") == k).cast("long")) for k in range(shards)])
+    counts = durable(state.groupBy("link").agg(held.alias("held")))
+    one = F.explode("held").alias("n")
+    squares = counts.select(one).select(F.col("n").cast("decimal(18,0)").alias("n")).agg(F.sum(F.col("n") * F.col("n")))
+    return counts, squares.first()[0] or Decimal(0)
+
+
+def propagated(links: DataFrame, quota: list[int], rounds: int | None = None) -> DataFrame:
+    """node, shard of every document in ``links`` (node, link), stored; each link value should be on two rows or more.
+
+    Rounds go on until ``IDLE`` of them in a row bring nothing together, or to ``rounds``.
+    """
+    shards = len(quota)
     state = durable(links.select("node", "link", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard")))
     held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count_distinct("node").alias("n")).collect()}
-    for turn in range(rounds):
+    counts, most = counted(state, shards)
+    turn = idle = 0
+    while idle < IDLE and turn != rounds:
         free = [max(0, quota[k] - held.get(k, 0)) for k in range(shards)]
         # every other round only shards with places are asked for, so that a group whose shard is full finds the next
-        offered = [k for k in range(shards) if turn % 2 == 0 or free[k] > 0]
-        if not offered:
-            continue
-        asked = durable(requests(state, offered, shards, turn))
-        moves = asked.where(F.col("to").isNotNull())
+        offered = [k for k in range(shards) if turn % 2 and free[k]] or list(range(shards))
+        moves = durable(requests(state, counts, offered, shards, turn))
+        # at most one row per pair of shards reaches the driver, here and below
         wanted = {(r["shard"], r["to"]): r["n"] for r in moves.groupBy("shard", "to").agg(F.count("*").alias("n")).collect()}
         allowed = allowances(wanted, free)
-        if not allowed:
-            if not wanted:
-                break
-            continue
-        # one row per pair of shards
-        limits = F.broadcast(spark.createDataFrame(allowed, "shard int, to int, moves long"))
-        upto = F.sum("n").over(Window.partitionBy("shard", "to").orderBy("grade"))
-        graded = moves.groupBy("shard", "to", "grade").agg(F.count("*").alias("n")).withColumn("upto", upto)
-        last = graded.join(limits, ["shard", "to"]).where(F.col("upto") <= F.col("moves")).groupBy("shard", "to").agg(F.max("grade").alias("last"))
-        granted = F.coalesce(F.col("grade") <= F.col("last"), F.lit(False))
-        moved = durable(
-            asked.join(F.broadcast(last), ["shard", "to"], "left").select("node", F.when(granted, F.col("to")).otherwise(F.col("shard")).alias("shard"))
-        )
-        held = {r["shard"]: r["n"] for r in moved.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-        state = durable(state.select("node", "link").join(moved, "node"))
+        idle += 1
+        turn += 1
+        if allowed:
+            limit = by_shard([allowed.get((a, b), 0) for a in range(shards) for b in range(shards)], 0, "way")
+            upto = F.sum("n").over(Window.partitionBy("way").orderBy("grade"))
+            ways = moves.withColumn("way", F.col("shard") * shards + F.col("to"))
+            graded = ways.groupBy("way", "grade").agg(F.count("*").alias("n")).withColumn("upto", upto)
+            granted = graded.where(F.col("upto") <= limit).groupBy("way").agg(F.max("grade").alias("last"), F.sum("n").alias("n")).collect()
+            last = {r["way"]: r["last"] for r in granted}
+            for r in granted:
+                held[r["way"] // shards] -= r["n"]
+                held[r["way"] % shards] = held.get(r["way"] % shards, 0) + r["n"]
+            going = ways.where(F.col("grade") <= by_shard([last.get(way, -1) for way in range(shards * shards)], -1, "way"))
+            if last:
+                used = [state, counts]
+                state = durable(
+                    state.join(going.select("node", "to"), "node", "left")
+                    .select("node", "link", F.coalesce("to", "shard").alias("shard"))
+                )
+                counts, now = counted(state, shards)
+                for step in used:
+                    discard(step)
+                if now > most:
+                    most, idle = now, 0
+        discard(moves)
+    discard(counts)
     return durable(state.select("node", "shard").distinct())
 
 
-def sharded(nodes: DataFrame, shards: int = 8, rounds: int = 8) -> DataFrame:
+def sharded(nodes: DataFrame, shards: int = 8, rounds: int | None = None) -> DataFrame:
     """The nodes with shard (int) and slot (gapless from 0 in each shard).
 
     ``nodes``: a stored table with a unique ``node`` and a ``link`` that documents may share.
