@@ -1,4 +1,4 @@
-"""Corpus preparation in stages, each written as Parquet and read again by the next."""
+"""Corpus preparation in stages, each written as Parquet and read again by the next, after which its files go."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stallwise.llm import jaccard_tgm, langid_ftrl, pfair, quality_mcd, sp_scan
 from stallwise.llm.common import crc_of_id
-from stallwise.session import fresh_path
+from stallwise.session import discard, durable
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +50,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows in the mixed order; ``position`` counts them from 0."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        path = fresh_path(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = durable(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            discard(before)
+        before = docs
     return docs.orderBy("position")

@@ -8,17 +8,19 @@ Equal sets are one node. The rest goes in four steps.
    hash of a segment's shingles is a signature. A set near the lower edge of the next band also uses that band's cut. A set with
    too many empty segments (rare) also uses the next of several independent cuts, so no link is missed.
    A set shares at least as many signatures of a cut as it has occupied segments beyond the shingles that can differ; cuts in
-   which it shares fewer with anyone are dropped.
+   which it shares fewer with anyone are dropped. Of that many shared ones it may pass over all but one, so the others that
+   most sets hold, mostly passages in common, bring nobody together.
 2. Groups. A signature that two nodes share has its smallest node as leader; each node joins the group of the leader it shares
    most signatures with. Groups are split so that their members stay within ``GROUP_TOKENS`` shingles.
 3. Token-group matrix. A group is stored as one row with its members' sets and the union of them. Two groups meet once
-   if they share a signature. A member is looked up in the other group's union: the overlap bounds its overlap with every
-   member there, and the group is opened for it only if the bound reaches the threshold.
+   if they share a signature that neither passes over. A member is looked up in the other group's union: the overlap bounds
+   its overlap with every member there, and the group is opened for it only if the bound reaches the threshold.
 4. Opened members are compared exactly. Of the links found a spanning forest is returned, so copies are never expanded to
    all pairs, and no link that joins two components is lost. Components follow by iterated minimum labels.
 
 Scale. Texts are read twice: once for signatures (stored, about one per six shingles), once for sets of documents that
-share one. Counting a signature combines map-side; the join back to hot ones is split by adaptive execution.
+share one. Counting a signature combines map-side; the join back to hot ones is split by adaptive execution. Pairs of groups
+are compared in rounds, so that what a round carries stays within a few times the stored groups, however many pairs there are.
 
 Defined cases. Null, empty and blank texts have no shingles and are alone. With fewer words than a shingle the whole
 sequence is one. Rows that share a doc_id are documents of their own. A null id is larger than all others, and comes out
@@ -32,7 +34,7 @@ from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallwise.llm.common import portions, text_bytes
@@ -48,6 +50,7 @@ LAST_CUT = 511  # the low bits of a signature
 NO_ID = (1 << 63) - 1
 WORDS_KEPT = 300_000
 SLICES = 8  # signatures are matched in so many rounds, by hash
+CARRIED = 4  # a round of comparisons carries about so many times the bytes of all groups
 
 
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -194,25 +197,30 @@ def sets_again(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def led(rows: DataFrame) -> DataFrame:
-    """The rows (signature, node) whose signature is on more than one node, with its smallest node as leader."""
-    shared = rows.groupBy("signature").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where(F.col("leader") != F.col("last"))
-    return rows.join(shared.select("signature", "leader"), "signature")
+    """The rows whose signature is on more than one node, with its smallest node as leader and the number of its holders."""
+    shared = rows.groupBy("signature").agg(F.min("node").alias("leader"), F.max("node").alias("last"), F.count("*").alias("holders")).where(F.col("leader") != F.col("last"))
+    return rows.join(shared.drop("last"), "signature")
 
 
 def memberships(sets: DataFrame) -> DataFrame:
-    """signature, node, leader: the signatures that nodes share.
+    """signature, node, leader, meets: the signatures that nodes share, and whether the node meets others by them.
 
     Slices are matched one after the other, so that the shuffles of one can go before the next begins. A node then
     stays in a cut only with as many shared signatures as a link needs: a passage in common is seldom enough.
+
+    Of a cut's signatures in the order of their holders a node passes over the last ``needed - 1``. Linked nodes share
+    as many of a cut as either needs, so the one of these with the fewest holders is passed over by neither.
     """
-    found = [durable(led(sets.select(F.explode(f"signatures_{k}").alias("signature"), "node").distinct())) for k in range(SLICES)]
+    found = [durable(led(sets.select(F.explode(f"signatures_{k}").alias("signature"), "node").distinct()).select("signature", "node")) for k in range(SLICES)]
     rows = reduce(DataFrame.unionByName, found).select("signature", "node", F.col("signature").bitwiseAND(F.lit(LAST_CUT).cast("long")).cast("int").alias("cut"))
-    needs = sets.where(F.size("cuts") > 0).select("node", F.explode(F.arrays_zip("cuts", "needs")).alias("c")).select("node", F.col("c.cuts").alias("cut"), F.col("c.needs").alias("needed")).distinct()
-    enough = rows.groupBy("node", "cut").agg(F.count("*").alias("n")).join(needs, ["node", "cut"]).where("n >= needed").select("node", "cut")
-    kept = durable(rows.join(enough, ["node", "cut"], "left_semi").select("signature", "node"))
-    members = durable(led(kept))
-    for step in [*found, kept]:
+    needs = sets.where(F.size("cuts") > 0).select("node", F.explode(F.arrays_zip("cuts", "needs")).alias("c")).groupBy("node", F.col("c.cuts").alias("cut")).agg(F.min("c.needs").alias("needed"))
+    enough = rows.groupBy("node", "cut").agg(F.count("*").alias("n")).join(needs, ["node", "cut"]).where("n >= needed").select("node", "cut", "needed")
+    kept = durable(rows.join(enough, ["node", "cut"]).select("signature", "node", "cut", "needed"))
+    for step in found:
         discard(step)
+    most = Window.partitionBy("node", "cut").orderBy(F.desc("holders"), "signature")
+    members = durable(led(kept).select("signature", "node", "leader", (F.row_number().over(most) >= F.col("needed")).alias("meets")))
+    discard(kept)
     return members
 
 
@@ -226,7 +234,7 @@ def groups_of(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def group_rows(tokens: DataFrame, groups: DataFrame) -> DataFrame:
-    """The token-group matrix: group, nodes, sizes, union of the members' sets, and their tokens as places in it."""
+    """The token-group matrix: group, nodes, sizes, union of the members' sets, their tokens as places in it, and its bytes."""
     import pandas as pd
 
     def stored(frame: pd.DataFrame) -> pd.DataFrame:
@@ -235,9 +243,10 @@ def group_rows(tokens: DataFrame, groups: DataFrame) -> DataFrame:
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
         union, places = np.unique(np.concatenate(sets), return_inverse=True)
         tokens = places.astype(np.int32).tobytes() if len(sets) > 1 else b""  # of one member: all in order
-        return pd.DataFrame({"group": [frame["group"].iloc[0]], "nodes": [frame["node"].to_numpy(np.int64).tobytes()], "sizes": [sizes.tobytes()], "tokens": [tokens], "union": [union.tobytes()]})
+        n_bytes = 2 * sizes.nbytes + len(tokens) + union.nbytes
+        return pd.DataFrame({"group": [frame["group"].iloc[0]], "nodes": [frame["node"].to_numpy(np.int64).tobytes()], "sizes": [sizes.tobytes()], "tokens": [tokens], "union": [union.tobytes()], "bytes": [n_bytes]})
 
-    return durable(tokens.join(groups, "node").groupBy("group").applyInPandas(stored, "group long, nodes binary, sizes binary, tokens binary, union binary"))
+    return durable(tokens.join(groups, "node").groupBy("group").applyInPandas(stored, "group long, nodes binary, sizes binary, tokens binary, union binary, bytes long"))
 
 
 class Group:
@@ -295,16 +304,25 @@ def presence(group: Group, members: np.ndarray, wanted: np.ndarray, tokens: np.n
     return out
 
 
-def links(members: DataFrame, groups: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """a, b: links that join up all nodes linked directly or through others."""
-    held = members.join(groups, "node").select("signature", "group").distinct()
+def pairs_of(members: DataFrame, groups: DataFrame, rows: DataFrame) -> DataFrame:
+    """group, other, bytes: the groups that meet, each pair once, those with themselves too, and the bytes of both."""
+    held = members.where("meets").join(groups, "node").select("signature", "group").distinct()
     other = held.select("signature", F.col("group").alias("other"))
     apart = held.join(other, "signature").where(F.col("group") < F.col("other")).select("group", "other").distinct()
     pairs = apart.unionByName(rows.where(F.length("nodes") > 8).select("group", F.col("group").alias("other")))
+    sizes = rows.select("group", "bytes")
+    there = sizes.select(F.col("group").alias("other"), F.col("bytes").alias("there"))
+    return durable(pairs.join(sizes, "group").join(there, "other").select("group", "other", (F.col("bytes") + F.col("there")).alias("bytes")))
+
+
+def links(members: DataFrame, groups: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """a, b: links that join up all nodes linked directly or through others."""
+    pairs = pairs_of(members, groups, rows)
+    whole, carried = [df.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0] for df in (rows, pairs)]
+    rounds = max(1, -(-carried // max(1, CARRIED * whole)))
     fields = ["nodes", "sizes", "tokens", "union"]
     first = rows.select("group", *[F.col(f).alias(f"a_{f}") for f in fields])
     second = rows.select(F.col("group").alias("other"), *[F.col(f).alias(f"b_{f}") for f in fields])
-    met = pairs.join(first, "group").join(second, "other")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,7 +331,13 @@ def links(members: DataFrame, groups: DataFrame, rows: DataFrame, percent: int)
                 found += linked(Group(*[row[f"a_{f}"] for f in fields]), Group(*[row[f"b_{f}"] for f in fields]), percent)
             yield pa.RecordBatch.from_pydict({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
-    return met.drop("group", "other").mapInArrow(verify, "a long, b long")
+    found = []
+    for k in range(rounds):
+        chosen = pairs.where(F.pmod(F.xxhash64("group", "other"), F.lit(rounds)) == k).drop("bytes")
+        met = chosen.join(first, "group").join(second, "other")
+        found.append(durable(met.drop("group", "other").mapInArrow(verify, "a long, b long")))
+    discard(pairs)
+    return reduce(DataFrame.unionByName, found)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -340,7 +364,7 @@ def labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     groups = groups_of(members, sets)
     ids = sets.join(groups, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
     rows = group_rows(sets_again(documents, durable(ids), width), groups)
-    edges = durable(links(members, groups, rows, percent))
+    edges = links(members, groups, rows, percent)
     for step in (members, groups, rows):
         discard(step)
     found = components(edges)

@@ -57,6 +57,62 @@ def test_many_near_copies_in_small_groups(spark, monkeypatch):
     assert got == plain_components(made, 3, 90)
 
 
+PASSAGE = "".join(f" p{k}" for k in range(24))
+
+
+def with_passage(n):
+    """n unrelated pairs of near copies, all with a passage in common; some copies differ in as much as links allow."""
+    rng = random.Random(17)
+    made = []
+    for i in range(n):
+        text = [f"t{i}w{k}" for k in range(rng.choice([60, 100, 150]))]
+        copy = list(text)
+        for at in rng.sample(range(len(text) // 10), rng.choice([1, 1, 2, 3])):
+            copy[at * 10] = "changed"
+        made += [(2 * i, " ".join(text) + PASSAGE), (2 * i + 1, " ".join(copy) + PASSAGE)]
+    return made
+
+
+def met(spark, made, width, percent):
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    sets = j.durable(j.signed_sets(df, width, percent))
+    members, ids = j.memberships(sets), sets.select("id")
+    groups = j.groups_of(members, sets)
+    return groups.select("group").distinct().count(), j.pairs_of(members, groups, j.group_rows(j.sets_again(df, ids, width), groups)).where("group < other").count()
+
+
+def test_passage_in_common_pairs_no_groups(spark):
+    """Groups that only share a passage don't meet, so pairs don't grow with the square of its holders."""
+    groups, pairs = met(spark, with_passage(60), 5, 80)
+    assert groups >= 30 and pairs <= groups // 2
+
+
+@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80)])
+def test_passage_in_common_equals_all_pairs(spark, width, percent):
+    made = with_passage(40)
+    got = sorted((False, r["doc_id"], r["n_shingles"], r["component_id"]) for r in j.joined(spark.createDataFrame(made, "doc_id long, text string"), width, percent).collect())
+    want = plain_components(made, width, percent)
+    assert got == want and 40 < len({w[3] for w in want}) < 80
+
+
+def test_rounds_find_the_same(spark, monkeypatch):
+    """Pairs dealt over many rounds: each round is a step of its own, components as by comparing all pairs."""
+    rng = random.Random(3)
+    base, made = [f"w{i}" for i in range(80)], []
+    for i in range(60):
+        copy = list(base)
+        for _ in range(rng.randint(0, 4)):
+            copy[rng.randrange(80)] = f"v{rng.randrange(50)}"
+        made.append((i, " ".join(copy)))
+    monkeypatch.setattr(j, "GROUP_MEMBERS", 6)
+    monkeypatch.setattr(j, "CARRIED", 2)
+    steps = []
+    monkeypatch.setattr(j, "durable", lambda df, real=j.durable: steps.append(df.columns) or real(df))
+    got = sorted((False, r["doc_id"], r["n_shingles"], r["component_id"]) for r in j.joined(spark.createDataFrame(made, "doc_id long, text string"), 3, 90).collect())
+    assert got == plain_components(made, 3, 90)
+    assert steps.count(["a", "b"]) > 3
+
+
 @pytest.mark.parametrize("percent", [80, 90, 95])
 def test_linked_sets_share_a_signature(percent):
     """At the very threshold, for sizes across the bands."""

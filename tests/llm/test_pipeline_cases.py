@@ -1,8 +1,10 @@
 """The whole pipeline on null and repeated ids, odd texts, clashing columns, and an empty table."""
 
+import os
 from collections import Counter
 
 import corpus_pipeline
+from stallwise.session import shared_dir
 
 
 def run_on(spark, documents, folder):
@@ -30,3 +32,16 @@ def test_odd_rows(spark, documents, rows, tmp_path):
 def test_empty_table(spark, none, tmp_path):
     out = run_on(spark, none, tmp_path)
     assert out.columns == ["doc_id", "lang", "source", "slot", "position", "ids", "n_ids"] and out.count() == 0
+
+
+def test_files_of_earlier_stages_go(spark, documents, tmp_path):
+    before = set(made(spark))
+    run_on(spark, documents, tmp_path)
+    names = [name.replace(" ", "-") for name, _ in corpus_pipeline.STAGES]
+    left = [x for x in set(made(spark)) - before if x.rpartition("-")[0] in names]
+    assert [x.rpartition("-")[0] for x in left] == names[-1:]
+
+
+def made(spark):
+    folder = f"{shared_dir(spark).removeprefix('file:')}/stallwise-{spark.sparkContext.applicationId}"
+    return os.listdir(folder) if os.path.isdir(folder) else []
